@@ -6,7 +6,8 @@ are confirmed on their full shingle sets.
 
 Texts with equal sets are one class, found by digest, and only class representatives are banded. In a bucket nobody is paired with
 everybody: all members are compared with one pivot, the member that shares most buckets; members already known to be connected
-need no comparison, and buckets still of several components get the next pivot, until the pairs that are left are fewer than the texts.
+need no comparison. While members of different components still make more pairs than a few for each text, buckets get another pivot (three at most in all);
+then the pairs left, of different components only, are compared too, so no link is lost.
 Links, components and sets stay distributed.
 """
 
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotarium.llm.common import bounded, small_batches, written
@@ -124,30 +125,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, lower: b
     score = members.groupBy("id").agg((F.sum("m") * 1048576 + F.max(F.pmod(F.xxhash64("id"), F.lit(1048576)))).alias("score"))
     members = written(members.join(score, "id"), "scored")
     links = tried = None
-    allowed = max(100_000, classes.count())
-    turn, ranked = 0, None
-    while True:
+    allowed = max(200_000, 8 * classes.count())
+    turn, last, used = 0, False, None
+    while not last:
         turn += 1
         if turn == 1:
-            pivot = members.groupBy("key").agg(F.max_by("id", "score").alias("pivot"))
+            pivot = written(members.groupBy("key").agg(F.max_by("id", "score").alias("pivot")), "pivots")
             pairs = members.join(pivot, "key").filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         else:
-            labelled = members.select("key", "id", "score").join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            open_ = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key", "n")
-            labelled = written(labelled.join(open_, "key"), "open")
-            total = labelled.groupBy("key").agg(F.max("n").alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+            # who was a pivot has met all of its bucket
+            members = members.join(used.withColumnRenamed("pivot", "id"), ["key", "id"], "left_anti")
+            labelled = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            open_ = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+            members = labelled = written(labelled.join(open_, "key"), "open")
+            each = labelled.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("n"))
+            total = (each.agg(F.sum("n")).first()[0] or 0) // 2
             if not total:
                 break
-            if total <= allowed:
+            members = labelled.drop("component")
+            if last := total <= allowed or turn > 3:
                 other = labelled.select("key", F.col("id").alias("id2"), F.col("component").alias("component2"))
                 pairs = labelled.join(other, "key").filter("id < id2 and component <> component2").select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
             else:  # too many: one more pivot for each bucket
-                if ranked is None:
-                    ranked = written(labelled.select("key", "id", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "id")).alias("rank")), "ranked")
-                pivot = ranked.filter(F.col("rank") == turn).select("key", F.col("id").alias("pivot"))
-                pivot = pivot.join(label.select(F.col("id").alias("pivot"), F.col("component").alias("pc")), "pivot", "left").withColumn("pc", F.coalesce("pc", "pivot"))
+                pivot = written(labelled.groupBy("key").agg(F.max_by(F.struct("id", "component"), "score").alias("p")).select("key", F.col("p.id").alias("pivot"), F.col("p.component").alias("pc")), "pivots")
                 pairs = labelled.join(pivot, "key").filter("component <> pc").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+                pivot = pivot.drop("pc")
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        used = pivot
         pairs = written(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         ids = bounded(written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted"), 24)
@@ -160,8 +164,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, lower: b
         found = written(sizes.withColumn("both", both).filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b").distinct(), "found")
         links = found if links is None else links.unionByName(found)
         label = components(links)
-        if turn > 1 and total <= allowed:
-            break
     out = sig.join(classes.withColumnRenamed("id", "class_id"), "set_digest", "left").join(label.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
     component = F.coalesce("component", "class_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
