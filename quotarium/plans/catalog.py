@@ -1,4 +1,265 @@
-"""Registry of the evidence-coding queries and their SQL twins."""
+"""Registry of the evidence-coding queries. Their SQL twins are in plans/twins.py."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quotarium.functions import ids
+from quotarium.functions.answers import clean_json_text
+from quotarium.functions.text import normalize
+from quotarium.operators import assembly, audit, framework, ladder, pacing, prompts, requests, responses, runs
+from quotarium.plans import derived as d
+from quotarium.plans.twins import ORACLES
+from quotarium.settings import Settings
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+#: Limits under which the events' tokens bind.
+PACE = Settings(tokens_per_minute=60_000, safety_margin=0.9, window_seconds=3600)
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[f.__name__] = f
+    return f
+
+
+@query
+def framework_load(spark, sf_dir):
+    return d.labels(spark)
+
+
+@query
+def framework_duplicates(spark, sf_dir):
+    return framework.duplicates(framework.from_rows(spark, d.COLUMNS, [list(r) for r in d.DEFECTS]))
+
+
+@query
+def framework_categories(spark, sf_dir):
+    return framework.categories(d.labels(spark)).select("category", "cat_ord", "n_codes", F.array_join("codes", ",").alias("codes"))
+
+
+@query
+def label_prompt_blocks(spark, sf_dir):
+    return framework.prompt_blocks(d.labels(spark))
+
+
+@query
+def request_matrix(spark, sf_dir):
+    asked = prompts.analysis_prompts(d.labels(spark))
+    return requests.request_matrix(d.files(spark, sf_dir), asked).select("category", "cat_ord", "idx", "custom_id", "filename", "file_id")
+
+
+@query
+def cost_estimate(spark, sf_dir):
+    return requests.cost_estimate(d.table(spark, sf_dir, "documents"), d.labels(spark), "batch", "some-sonnet-model")
+
+
+@query
+def doc_limit_sorted(spark, sf_dir):
+    kinds = F.element_at(F.array(*map(F.lit, (".pdf", ".DOCX", ".txt", ".ppt", ".xlsx"))), (F.col("doc_id") % 5 + 1).cast("int"))
+    paths = d.table(spark, sf_dir, "documents").select(F.concat(F.lit("/corpus/"), F.col("source"), F.lit("_"), F.col("doc_id"), kinds).alias("path"))
+    return requests.documents(paths, limit=50)
+
+
+@query
+def response_text_assembly(spark, sf_dir):
+    kind = F.when(F.col("role") == "assistant", "text").otherwise("other")
+    turns = d.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", kind.alias("type"), "text"))).alias("t"))
+    content = F.transform("t", lambda x: F.struct(x["type"].alias("type"), x["text"].alias("text")))
+    none = lambda kind: F.lit(None).cast(kind)
+    result = F.struct(F.lit("succeeded").alias("type"), none("string").alias("text"), none("string").alias("error_message"), F.struct(content.alias("content")).alias("message"), none("struct<message: string>").alias("error"))
+    return responses.results(turns.select("conv_id", result.alias("result"))).select("conv_id", "success", "text")
+
+
+@query
+def response_success_counts(spark, sf_dir):
+    return responses.counts(d.responses(spark, sf_dir))
+
+
+@query
+def custom_id_join(spark, sf_dir):
+    return responses.with_filenames(d.responses(spark, sf_dir), d.files(spark, sf_dir)).select("response_ord", "custom_id", "filename")
+
+
+@query
+def clean_json(spark, sf_dir):
+    return d.responses(spark, sf_dir).filter("success").select("response_ord", clean_json_text(F.col("text")).alias("cleaned"))
+
+
+def _answers(spark, sf_dir):
+    return responses.decoded(responses.with_filenames(d.responses(spark, sf_dir), d.files(spark, sf_dir)), d.labels(spark))
+
+
+@query
+def parse_findings(spark, sf_dir):
+    found = responses.findings(_answers(spark, sf_dir), d.RUN_TS)
+    return found.select("snippet_id", "filename", "label_category", "label_code", "snippet", "reasoning", "confidence", "timestamp", "finding_hash", F.col("finding_ord.response_ord").alias("response_ord"))
+
+
+@query
+def parse_errors(spark, sf_dir):
+    bad = responses.errors(_answers(spark, sf_dir), d.RUN_TS)
+    return bad.select("filename", "label_category", "error_type", F.col("finding_ord.response_ord").alias("response_ord"), F.col("finding_ord.pos").cast("long").alias("pos"))
+
+
+@query
+def parse_error_counts(spark, sf_dir):
+    return responses.errors(_answers(spark, sf_dir), d.RUN_TS).groupBy("label_category", "error_type").agg(F.count("*").alias("n"))
+
+
+@query
+def hallucinated_codes(spark, sf_dir):
+    code = F.element_at(F.array(*map(F.lit, ("OUT_GAIN", "COST", "MET_SURVEY", "NEW_CODE"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    category = F.element_at(F.array(*map(F.lit, d.CATEGORY)), (F.col("doc_id") % 3 + 1).cast("int"))
+    found = d.table(spark, sf_dir, "documents").select("doc_id", category.alias("label_category"), code.alias("label_code"))
+    return responses.hallucinated(found, d.labels(spark)).select("doc_id", "label_category", "label_code")
+
+
+@query
+def finding_identifiers(spark, sf_dir):
+    docs = d.table(spark, sf_dir, "documents")
+    name = F.concat(F.col("source"), F.lit(" & Söhne (v1.2) "), F.col("doc_id"), F.lit(".final.pdf"))
+    own = docs.select("doc_id", name.alias("filename"), F.concat(F.col("lang"), F.lit(": costs/benefits")).alias("category"), F.substring("text", 1, 80).alias("snippet"))
+    return own.select("doc_id", ids.snippet_id(F.col("filename"), F.col("category"), F.col("doc_id")).alias("snippet_id"), ids.custom_id(F.col("filename"), F.col("doc_id")).alias("custom_id"), ids.finding_hash(F.col("filename"), F.col("category"), F.lit("COST"), F.col("snippet")).alias("finding_hash"), ids.prompt_file_part(F.col("category")).alias("prompt_part"))
+
+
+@query
+def dedup_by_hash(spark, sf_dir):
+    """Findings of two runs that overlap by half."""
+    docs = d.table(spark, sf_dir, "documents")
+    run = lambda name, where: docs.filter(where).select(F.concat(F.lit(name), F.col("doc_id")).alias("snippet_id"), ids.finding_hash(F.col("source"), F.col("lang"), F.lit("COST"), F.col("text")).alias("finding_hash"))
+    return responses.merge_runs(run("a_", "doc_id % 4 < 2"), run("b_", "doc_id % 4 > 0"))
+
+
+@query
+def normalize_text(spark, sf_dir):
+    k = F.col("doc_id") % 4
+    noisy = F.when(k == 0, F.replace("text", F.lit(" "), F.lit("\u00a0"))).when(k == 1, F.replace(F.replace("text", F.lit("'"), F.lit("\u2019")), F.lit("e "), F.lit("e \u2014 "))).when(k == 2, F.replace("text", F.lit("ne"), F.lit("n- \n e"))).otherwise(F.replace("text", F.lit(". "), F.lit("\u2026\t\u200b ")))
+    own = d.table(spark, sf_dir, "documents").select("doc_id", noisy.alias("noisy"))
+    return own.select("doc_id", normalize(F.col("noisy")).alias("display"), normalize(F.col("noisy"), fold=True).alias("cf"))
+
+
+@query
+def page_offsets(spark, sf_dir):
+    return d.doc_texts(spark, sf_dir).select("filename", F.posexplode("page_offsets").alias("page_no", "start")).select("filename", (F.col("page_no") + 1).cast("long").alias("page_no"), F.col("start").cast("long").alias("start"))
+
+
+@query
+def page_lookup(spark, sf_dir):
+    place = (F.substring("filename", 5, 6).cast("long") * 53 % F.greatest(F.length("full_cf"), F.lit(1))).cast("int")
+    return d.doc_texts(spark, sf_dir).select("filename", place.cast("long").alias("place"), assembly.page_at(F.col("page_offsets"), place).alias("page_number"))
+
+
+@query
+def no_text_layer_docs(spark, sf_dir):
+    return d.doc_texts(spark, sf_dir).filter("not has_text_layer").select("filename", F.length("full_cf").cast("long").alias("n_chars"))
+
+
+@query
+def boilerplate_signatures(spark, sf_dir):
+    return assembly.boilerplate(d.blocks(spark, sf_dir))
+
+
+@query
+def boilerplate_stripped_text(spark, sf_dir):
+    return assembly.from_blocks(d.blocks(spark, sf_dir)).select("filename", "has_text_layer", "full_cf", F.size("page_offsets").cast("long").alias("n_pages"), F.element_at("page_offsets", -1).cast("long").alias("last_start"))
+
+
+def _verdicts(spark, sf_dir, kind, fuzzy=False):
+    return ladder.verify(d.findings(spark, sf_dir, kind), d.doc_texts(spark, sf_dir), fuzzy=fuzzy)
+
+
+VERDICT = ["snippet_id", "filename", "finding_ord", "verification_status", "match_score", "match_method", "page_number"]
+
+
+@query
+def verify_exact(spark, sf_dir):
+    return _verdicts(spark, sf_dir, "exact").select(*VERDICT)
+
+
+@query
+def verify_fragmented(spark, sf_dir):
+    return _verdicts(spark, sf_dir, "fragmented").select(*VERDICT)
+
+
+@query
+def verify_fuzzy(spark, sf_dir):
+    return _verdicts(spark, sf_dir, "fuzzy", True).select(*VERDICT, "matched_text")
+
+
+@query
+def verify_ladder(spark, sf_dir):
+    all_ = d.findings(spark, sf_dir, "exact").unionByName(d.findings(spark, sf_dir, "fragmented")).unionByName(d.findings(spark, sf_dir, "fuzzy"))
+    return ladder.verify(all_, d.doc_texts(spark, sf_dir)).select(*VERDICT, "matched_text")
+
+
+def _both(spark, sf_dir):
+    both = d.findings(spark, sf_dir, "exact").unionByName(d.findings(spark, sf_dir, "fragmented"))
+    return ladder.verify(both, d.doc_texts(spark, sf_dir), fuzzy=False)
+
+
+@query
+def status_summary(spark, sf_dir):
+    return audit.status_summary(_both(spark, sf_dir))
+
+
+@query
+def verified_ratio(spark, sf_dir):
+    return audit.verified_ratio(_both(spark, sf_dir))
+
+
+@query
+def clean_findings(spark, sf_dir):
+    return audit.clean(_verdicts(spark, sf_dir, "exact")).select("snippet_id", "filename", "finding_ord", "page_number")
+
+
+@query
+def audit_findings(spark, sf_dir):
+    return audit.audit(audit.with_pages(_verdicts(spark, sf_dir, "fragmented"))).select("snippet_id", "filename", "finding_ord", "page_number", "verification_status", "match_score", "match_method")
+
+
+@query
+def standalone_audit(spark, sf_dir):
+    verdicts = _verdicts(spark, sf_dir, "exact")
+    rows = d.findings(spark, sf_dir, "exact").select("snippet_id", "finding_ord", F.lit("kept").alias("note"), F.lit(-1).alias("page_number"))
+    return audit.reaudit(rows, verdicts).select("snippet_id", "finding_ord", "note", "page_number", "verification_status", "match_method")
+
+
+@query
+def benchmark_passages_located(spark, sf_dir):
+    passages = d.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("key"), "text")
+    return ladder.located(passages, d.doc_texts(spark, sf_dir))
+
+
+@query
+def resume_plan(spark, sf_dir):
+    stored = spark.createDataFrame([("Methods", "b1", 1), ("Methods", "b2", 2), ("Gone", "b3", 3)], "category string, batch_id string, ord int")
+    return runs.plan(framework.categories(d.labels(spark)), stored)
+
+
+@query
+def resume_pending_categories(spark, sf_dir):
+    stored = spark.createDataFrame([("Methods", "b1")], "category string, batch_id string")
+    return runs.pending(framework.categories(d.labels(spark)), stored)
+
+
+@query
+def token_window_usage(spark, sf_dir):
+    return pacing.window_usage(d.usage(spark, sf_dir), PACE).select("lane", "seq", "tokens", "used", "oldest_us")
+
+
+@query
+def token_estimate_last5(spark, sf_dir):
+    return pacing.window_usage(d.usage(spark, sf_dir), PACE).select("lane", "seq", "estimate")
+
+
+@query
+def rate_limit_admission(spark, sf_dir):
+    return pacing.window_usage(d.usage(spark, sf_dir), PACE).select("lane", "seq", "admitted", "wait_us")
+
+
+@query
+def pacing_replay(spark, sf_dir):
+    return pacing.replay(d.usage(spark, sf_dir), PACE)
