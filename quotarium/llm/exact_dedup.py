@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 
 from quotarium.llm.common import ascii_lower, bounded, scratch, written
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk. A changelog is written for each batch instead of a whole snapshot, and files take the space they need: there is a database for each
+#: shuffle partition, and by default each reserves several MB beforehand.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -34,8 +40,9 @@ def stream_keys(spark: SparkSession, path: str, schema, digest, state: str | Non
     rows = spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
     keyed = rows.select(digest(normalised(F.col("text"))).alias("digest"), F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("_metadata.file_path").alias("file")).alias("at"))
     states = keyed.groupBy("digest").agg(F.max("at").alias("at"), F.count("*").alias("group_size")).select("digest", F.col("at.doc_id").alias("keep_id"), F.col("at.file").alias("locator"), "group_size")
-    before = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")}
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         run = (
             states.writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", state)
