@@ -29,8 +29,13 @@ def main(argv: list[str] | None = None) -> None:
     check.add_argument("--documents", help="folder of the documents")
     check.add_argument("--blocks", help="table of their text blocks")
     check.add_argument("--out", required=True)
+    for kind in (run, check):
+        kind.add_argument("--log", help="a file that gets the log too, in full")
     got = ask.parse_args(argv)
-    logging.basicConfig(level=logging.INFO)
+    console = logging.StreamHandler()
+    console.setLevel(logging.INFO)
+    logging.basicConfig(level=logging.DEBUG if got.log else logging.INFO, handlers=[console, *([logging.FileHandler(got.log)] if got.log else [])])
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = SparkSession.builder.appName("quotarium").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     blocks = spark.read.parquet(got.blocks) if got.blocks else None
     if got.command == "verify":

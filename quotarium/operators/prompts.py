@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotarium.operators.framework import categories, prompt_blocks
 
-_HEAD = """You code documents for a systematic review.
+HEAD = """You code documents for a systematic review.
 
 # What to do
 Read the attached document and quote every passage to which one of the labels below applies.
@@ -31,10 +31,14 @@ _SURE = """
 7. confidence is high if the passage fits beyond doubt, medium if it leaves some, low if it only touches the label."""
 
 
+def tail(include_confidence: bool) -> str:
+    """What follows the labels."""
+    return _SHAPE % (', "confidence": "<high, medium or low>"' if include_confidence else "") + (_SURE if include_confidence else "") + "\n"
+
+
 def analysis_prompts(framework: DataFrame, include_confidence: bool = True) -> DataFrame:
     """category, cat_ord, prompt: one prompt for each category, with the labels of that category alone."""
-    tail = _SHAPE % (', "confidence": "<high, medium or low>"' if include_confidence else "") + (_SURE if include_confidence else "") + "\n"
-    return prompt_blocks(framework).select("category", "cat_ord", F.concat(F.lit(_HEAD), F.col("blocks"), F.lit(tail)).alias("prompt"))
+    return prompt_blocks(framework).select("category", "cat_ord", F.concat(F.lit(HEAD), F.col("blocks"), F.lit(tail(include_confidence))).alias("prompt"))
 
 
 def summary_prompts(framework: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def batch_bodies(requests: DataFrame, model: str, max_tokens: int) -> DataFrame:
 
 
 def data_uri(content: Column) -> Column:
-    return F.concat(F.lit("data:application/pdf;base64,"), F.base64(content))
+    return F.concat(F.lit("data:application/pdf;base64,"), F.translate(F.base64(content), "\r\n", ""))  # Spark breaks lines
 
 
 def rate(provider: str, model: str) -> float:

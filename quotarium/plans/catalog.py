@@ -45,6 +45,11 @@ def label_prompt_blocks(spark, sf_dir):
     return framework.prompt_blocks(d.labels(spark))
 
 
+@query
+def analysis_prompts(spark, sf_dir):
+    return prompts.analysis_prompts(d.labels(spark))
+
+
 @query
 def request_matrix(spark, sf_dir):
     asked = prompts.analysis_prompts(d.labels(spark))
@@ -117,6 +122,11 @@ def hallucinated_codes(spark, sf_dir):
     return responses.hallucinated(found, d.labels(spark)).select("doc_id", "label_category", "label_code")
 
 
+@query
+def document_data_uris(spark, sf_dir):
+    return d.table(spark, sf_dir, "documents").select("doc_id", requests.data_uri(F.coalesce("text", F.lit("")).cast("binary")).alias("uri"))
+
+
 @query
 def finding_identifiers(spark, sf_dir):
     docs = d.table(spark, sf_dir, "documents")
@@ -210,6 +220,13 @@ def verified_ratio(spark, sf_dir):
     return audit.verified_ratio(_both(spark, sf_dir))
 
 
+@query
+def run_summary(spark, sf_dir):
+    verdicts = _verdicts(spark, sf_dir, "exact")
+    answers = _answers(spark, sf_dir)
+    return audit.run_summary(responses.findings(answers, d.RUN_TS), responses.errors(answers, d.RUN_TS), verdicts)
+
+
 @query
 def clean_findings(spark, sf_dir):
     return audit.clean(_verdicts(spark, sf_dir, "exact")).select("snippet_id", "filename", "finding_ord", "page_number")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotarium.operators import assembly, framework, requests
+from quotarium.storage import written
 
 COLUMNS = ["Category", "Code", "Description", "Inclusion Criteria", "Exclusion Criteria"]
 # A small framework, with categories out of order, one code in two of them, and labels without exclusions.
@@ -91,7 +92,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = F.when(F.col("k") == k, t).otherwise(text)
     ok = F.col("k") != 5
     custom = F.when(F.col("doc_id") % 10 == 9, F.lit("req-lost")).otherwise(F.concat(F.lit("req-"), F.format_string("%04d", F.col("doc_id") + 1), F.lit("-"), F.regexp_replace(filename(), "[^a-zA-Z0-9_-]", "_")))
-    return docs.select("category", F.col("doc_id").alias("response_ord"), custom.alias("custom_id"), ok.alias("success"), text.alias("text"), F.when(~ok, "overloaded").alias("error_message"))
+    out = docs.select("category", F.col("doc_id").alias("response_ord"), custom.alias("custom_id"), ok.alias("success"), text.alias("text"), F.when(~ok, "overloaded").alias("error_message"))
+    return written(out, "responses")  # as a provider's answers are: else each step would repeat the expressions
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:

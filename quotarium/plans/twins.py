@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quotarium.operators.prompts import HEAD, tail
 from quotarium.plans.derived import CATEGORY, DEFECTS, FABRICATED, FRAMEWORK, GOOD_CODE, RUN_TS
 
 
@@ -124,6 +125,9 @@ ORACLES: dict[str, str] = {
     "framework_duplicates": _with(BAD, FW, query="select category, code, count(*) as n from fw group by all having count(*) > 1"),
     "framework_categories": _with(RAW, FW, CATS, query="select * from cats"),
     "label_prompt_blocks": _with(RAW, FW, CATS, query="select category, cat_ord, n_codes, (select string_agg('- ' || code || ': ' || description || chr(10) || '  Include: ' || inclusion_criteria || case when exclusion_criteria <> '' then chr(10) || '  Exclude: ' || exclusion_criteria else '' end, chr(10) order by ord) from fw where fw.category = cats.category) as blocks from cats"),
+    "analysis_prompts": "",
+    "document_data_uris": "select doc_id, 'data:application/pdf;base64,' || to_base64(encode(coalesce(text, ''))) as uri from documents",
+    "run_summary": _with(*PARSED, ERRORS, PAGES, PLACED, TEXTS, EXACT, *_verdicts("exact"), query="select (select count(*) from judged where error_type is null) as n_findings, (select count(*) from errs) as n_errors, count(*) filter (verification_status like 'verified%') as n_verified, count(*) filter (verification_status = 'not_found') as n_not_found from verdicts_exact"),
     "request_matrix": _with(RAW, FW, CATS, DOCS, FILES, query="select category, cat_ord, idx, substr('req-' || printf('%04d', idx) || '-' || regexp_replace(filename, '[^A-Za-z0-9_-]', '_', 'g'), 1, 64) as custom_id, filename, file_id from files, cats"),
     "cost_estimate": _with(RAW, FW, query="select n_documents, n_categories, n_documents * n_categories as n_requests, 0.01::double as cost_per_request, n_documents * n_categories * 0.01::double as cost from (select count(*) as n_documents from documents), (select count(distinct category) as n_categories from fw)"),
     "doc_limit_sorted": "select '/corpus/' || name as path, name as filename, row_number() over (order by name) as idx from (select source || '_' || doc_id || ['.pdf', '.DOCX', '.txt', '.ppt', '.xlsx'][1 + doc_id % 5] as name from documents where doc_id % 5 in (0, 1, 3) order by name limit 50)",
@@ -165,3 +169,5 @@ ORACLES["dedup_by_hash"] = _with(_HASHED, query="select min_by(snippet_id, run |
 _NOISY = r"case doc_id % 4 when 0 then replace(text, ' ', chr(160)) when 1 then replace(replace(text, '''', chr(8217)), 'e ', 'e ' || chr(8212) || ' ') when 2 then replace(text, 'ne', 'n- ' || chr(10) || ' e') else replace(text, '. ', chr(8230) || chr(9) || chr(8203) || ' ') end"
 _MAPPED = "replace(replace(translate(coalesce(noisy, ''), chr(160) || chr(8217) || chr(8212), ' ''-'), chr(8230), '...'), chr(8203), '')"
 ORACLES["normalize_text"] = _with(f"n as (select doc_id, {_NOISY} as noisy from documents)", f"m as (select doc_id, {_norm(_MAPPED)} as display from n)", query=f"select doc_id, display, {_cf('display')} as cf from m")
+_BLOCKS_SQL = ORACLES["label_prompt_blocks"].split(" select category, cat_ord, n_codes, ", 1)
+ORACLES["analysis_prompts"] = f"{_BLOCKS_SQL[0]}, b as (select category, cat_ord, {_BLOCKS_SQL[1]}) select category, cat_ord, {_text(HEAD)} || blocks || {_text(tail(True))} as prompt from b"

@@ -129,3 +129,11 @@ def test_decode():
 
 def test_pages():
     assert assemble(["A b", "", "C"]) == {"full_cf": "a b  c", "full_display": "A b  C", "page_offsets": [0, 4, 5]}
+
+
+def test_functions_in_sql(spark):
+    from quotarium.functions.sql import register
+
+    register(spark)
+    r = spark.sql("""select quote_fold('Stra\\u00dfe  X') as f, quote_normal(null) as n, quote_align('abd', 'xxabcxx') as a, decode_answer('{"findings": []}').kind as k""").first()
+    assert (r["f"], r["n"], r["k"]) == ("strasse x", "", "list") and round(r["a"]["score"], 2) == 80.0
