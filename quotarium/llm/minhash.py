@@ -5,9 +5,10 @@ second is applied after shifting the ring by the coordinate's number. Coordinate
 are confirmed on their full shingle sets.
 
 Texts with equal sets are one class, found by digest, and only class representatives are banded. In a bucket nobody is paired with
-everybody: all members are compared with one pivot, the member that shares most buckets; members already known to be connected
-need no comparison. While members of different components still make more pairs than a few for each text, buckets get another pivot (three at most in all);
-then the pairs left, of different components only, are compared too, so no link is lost.
+everybody: all members are compared with one pivot, the member that shares most buckets. For members r and x that aren't both
+linked with the pivot, and any reference set p, |r & x| <= min(|r & p|, |x & p|) + |(r - p) & (x - p)|: they can be linked only if they share a shingle outside p,
+or if p covers enough of both. With the pivot's family's consensus as p, few do. So members are dealt again by their shingles outside it (of which a prefix in hash order is enough), and
+those that it covers by their size. Where that still makes many pairs, such parts get pivots in turn; else their pairs are compared. No link between candidates is lost.
 Links, components and sets stay distributed.
 """
 
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotarium.llm.common import bounded, small_batches, written
@@ -93,26 +94,152 @@ def shingles(docs: DataFrame, words: int, lower: bool) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """id, component (smallest id reachable) of a written table of links a, b. Labels spread along links and jump to their label's label."""
+    """id, component (smallest id reachable) of a table of links a, b. Labels spread along links and jump to their label's label. Nodes that are few enough are broadcast."""
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     label = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
+    small = F.broadcast if label.count() * 32 <= 24 << 20 else (lambda df: df)
     while True:
-        near = both.join(label.select(F.col("id").alias("b"), F.col("component").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
-        step = label.join(near, F.col("id") == F.col("a")).select("id", F.col("component").alias("was"), F.least("component", "c").alias("component"))
+        near = both.join(small(label.select(F.col("id").alias("b"), F.col("component").alias("c"))), "b").groupBy("a").agg(F.min("c").alias("c"))
+        step = near.join(small(label), F.col("id") == F.col("a")).select("id", F.col("component").alias("was"), F.least("component", "c").alias("component"))
         step = written(step, "labels")
         up = step.select(F.col("id").alias("p"), F.col("component").alias("up"))
-        new = written(step.join(up, F.col("component") == F.col("p"), "left").select("id", "was", F.least("component", "up").alias("component")), "labels")
+        new = written(step.join(small(up), F.col("component") == F.col("p"), "left").select("id", "was", F.least("component", "up").alias("component")), "labels")
         if new.filter("was <> component").isEmpty():
             return new.select("id", "component")
         label = new.select("id", "component")
 
 
+def _joined(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+    """Pairs with both sets' sizes and what they share: na, nb, both, and the sets sa, sb."""
+    left = pairs.join(sets.withColumnsRenamed({"id": a, "shingles": "sa"}), a).join(sets.withColumnsRenamed({"id": b, "shingles": "sb"}), b)
+    return left.withColumns({"na": F.size("sa"), "nb": F.size("sb")})
+
+
+def _against_pivot(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs (family, pivot, id, pivot_label, label): family, pivot, id, linked and the new label, which is the pivot's where they are linked."""
+    rows = _joined(pairs, sets, "pivot", "id").withColumn("both", F.size(F.array_intersect("sa", "sb")))
+    linked = 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
+    return rows.withColumn("linked", linked).select("family", "pivot", "id", F.when(F.col("linked"), F.col("pivot_label")).otherwise(F.col("label")).alias("label"), "linked")
+
+
+#: Families from this size on get a consensus, of about so many members.
+CONSENSUS_FROM, CONSENSUS_OF = 8, 64
+
+
+def _references(families: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """family, ref: a set that most of a family's sets are near to. Any set would do, so the shingles of more than half of a hashed sample of members serve; small families use their pivot."""
+    large = families.filter(F.col("size") >= CONSENSUS_FROM).select("family", "size")
+    some = rows.join(large, "family").filter(F.pmod(F.xxhash64("id", F.lit("reference")), F.ceil(F.col("size") / CONSENSUS_OF)) == 0).select("family", "id").distinct()
+    some = written(some, "sampled")
+    counts = some.groupBy("family").agg(F.count("*").alias("k"))
+    common = some.join(sets, "id").select("family", F.explode("shingles").alias("x")).groupBy("family", "x").agg(F.count("*").alias("c")).join(counts, "family").filter(2 * F.col("c") > F.col("k"))
+    consensus = common.groupBy("family").agg(F.collect_list("x").alias("consensus"))
+    own = families.select("family", F.col("pivot").alias("id")).join(sets.dropDuplicates(["id"]), "id")
+    return own.join(consensus, "family", "left").select("family", F.coalesce("consensus", "shingles").alias("ref"))
+
+
+def _bounded_sets(refs: DataFrame, column: str, limit: int = 24 << 20) -> DataFrame:
+    """Marks a written table of sets for broadcast only if their counted bytes fit a limit."""
+    size = refs.agg(F.sum(F.size(column) * 8 + 48)).first()[0] or 0
+    return F.broadcast(refs) if size <= limit else refs
+
+
+def _described(rows: DataFrame, refs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """family, id, label, n, cover (shingles in the reference), near (similarity to it) and outside: the first shingles outside the reference, as many as are needed."""
+    all_ = rows.select("family", "id", "label").join(refs, "family").join(sets, "id").withColumns({"n": F.size("shingles"), "cover": F.size(F.array_intersect("shingles", "ref"))})
+    # a partner has at least percent of this set, so it shares at least so many shingles that lie outside the reference
+    least = F.ceil(F.col("n") * percent / 100 - F.lit(1e-9)) - F.col("cover")
+    outside = F.slice(F.array_except("shingles", "ref"), 1, F.greatest(F.col("n") - F.col("cover") - F.greatest(least, F.lit(1)) + 1, F.lit(0)).cast("int"))
+    return all_.select("family", "id", "label", "n", "cover", (F.col("cover") / (F.col("n") + F.size("ref") - F.col("cover"))).alias("near"), outside.alias("outside"))
+
+
+def _parts(rows: DataFrame, percent: int) -> DataFrame:
+    """family, part, id, label, n, cover of what may still be linked: one row for each shingle outside the reference, and for sizes where the reference covers enough of a set."""
+    by_shingle = rows.select("family", F.explode("outside").alias("part"), "id", "label", "n", "cover", "near")
+    covered = rows.filter(100 * F.col("cover") >= percent * F.col("n"))
+    # linked sizes differ by a factor of 100 / percent at most: equal or neighbouring places
+    place = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / min(percent, 99))) + F.lit(1e-9)).cast("long")
+    at = F.explode(F.array(place, place + 1)).alias("part")
+    by_size = covered.select("family", at, "id", "label", "n", "cover", "near").withColumn("part", F.xxhash64(F.lit("size"), "part"))
+    # only sets small enough to be linked through the reference alone
+    room = by_size.groupBy("family", "part").agg(F.min("n").alias("smallest"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+    by_size = by_size.join(room.select("family", "part", "smallest"), ["family", "part"]).filter((100 + percent) * F.col("cover") >= percent * (F.col("n") + F.col("smallest"))).drop("smallest")
+    parts = by_shingle.withColumn("kind", F.lit(0)).unionByName(by_size.withColumn("kind", F.lit(1)))
+    open_ = parts.groupBy("family", "part", "kind").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("family", "part", "kind")
+    return parts.join(open_, ["family", "part", "kind"])
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and covers of two members of a part leave room for a link."""
+    least = F.least("cover", "cover2")
+    shared = F.when(F.col("kind") == 0, least + F.least(F.col("n") - F.col("cover"), F.col("n2") - F.col("cover2"))).otherwise(least)
+    return (100 + percent) * shared >= percent * (F.col("n") + F.col("n2"))
+
+
+def _remaining_pairs(parts: DataFrame, percent: int) -> DataFrame:
+    other = parts.select("family", "part", "kind", F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("n").alias("n2"), F.col("cover").alias("cover2"))
+    both = parts.join(other, ["family", "part", "kind"]).filter((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & _may_link(percent))
+    return both.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+
+
+def _pivots(parts: DataFrame) -> DataFrame:
+    """family (new), pivot, id, pivot_label, label: each part's member that is nearest to the reference is the pivot of that part."""
+    best = parts.groupBy("family", "part", "kind").agg(F.max_by(F.struct("id", "label"), F.struct("near", "id")).alias("p"))
+    out = parts.join(best, ["family", "part", "kind"]).filter(F.col("id") != F.col("p.id"))
+    return out.select(F.xxhash64("family", "p.id").alias("family"), F.col("p.id").alias("pivot"), "id", F.col("p.label").alias("pivot_label"), "label").distinct()
+
+
+#: Rounds of pivots before what is left is compared pair by pair, and pairs for each text that are few enough to be.
+ROUNDS, PAIRS, LEAST_PAIRS = 4, 16, 20_000
+
+
+def candidate_links(members: DataFrame, docs: DataFrame, words: int, percent: int, lower: bool, texts: int) -> DataFrame:
+    """a, b of linked class representatives. members: written (key, id, m) of the buckets with m > 1 members; texts: number of classes."""
+    score = members.groupBy("id").agg((F.sum("m") * 1048576 + F.max(F.pmod(F.xxhash64("id"), F.lit(1048576)))).alias("score"))
+    members = written(members.join(score, "id"), "scored")
+    pivot = members.groupBy("key").agg(F.max_by("id", "score").alias("pivot"))
+    first = members.join(pivot, "key").filter("id <> pivot").select("pivot", "id").distinct()
+    todo = written(first.select(F.col("pivot").alias("family"), "pivot", "id", F.col("pivot").alias("pivot_label"), F.col("id").alias("label")), "pairs")
+    ids = bounded(written(todo.select("pivot").union(todo.select("id")).toDF("id").distinct(), "wanted"), 24)
+    # rows that repeat a doc_id with different texts: any of them may link
+    sets = written(shingles(docs.join(ids, docs["doc_id"].cast("long") == ids["id"], "left_semi"), words, lower), "sets")
+    links = None
+    for turn in range(ROUNDS):
+        compared = written(_against_pivot(todo, sets, percent), "compared")
+        found = compared.filter("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+        links = found if links is None else links.unionByName(found)
+        open_ = compared.groupBy("family", "pivot").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
+        families = bounded(written(open_.select("family", "pivot", "size"), "families"), 48)
+        rows = compared.join(families.select("family"), "family")
+        refs = _bounded_sets(written(_references(families, rows, sets), "references"), "ref")
+        described = written(_described(rows, refs, sets, percent), "described")
+        # the pivot is only the likeliest centre; the member that is nearest to the consensus is a better one
+        nearest = described.groupBy("family").agg(F.max_by(F.struct(F.col("id").alias("pivot"), F.col("label").alias("pivot_label")), F.struct("near", "id")).alias("q"), F.count("*").alias("size"))
+        nearest = bounded(written(nearest.filter(F.col("size") >= CONSENSUS_FROM).select("family", "q.*"), "nearest"), 48)
+        again = described.select("family", "id", "label").join(nearest, "family").filter(F.col("id") != F.col("pivot"))
+        again = written(_against_pivot(again, sets, percent), "compared")
+        links = links.unionByName(again.filter("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+        met = described.join(again.select("family", "id", F.col("label").alias("new"), F.col("pivot").alias("q")), ["family", "id"], "left").withColumn("label", F.coalesce("new", "label")).drop("new", "q")
+        parts = written(_parts(met, percent), "parts")
+        each = parts.groupBy("family", "part", "kind", "label").agg(F.count("*").alias("n")).groupBy("family", "part", "kind").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("n"))
+        total = (each.agg(F.sum("n")).first()[0] or 0) // 2
+        if not total:
+            return links
+        if total <= max(LEAST_PAIRS, PAIRS * texts) or turn == ROUNDS - 1:
+            break
+        todo = written(_pivots(parts), "pairs")
+    pairs = written(_remaining_pairs(parts, percent), "pairs")
+    sized = _joined(pairs, sets, "a", "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).withColumn("both", F.size(F.array_intersect("sa", "sb")))
+    found = sized.filter(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+    return links.unionByName(found)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
     Texts are linked if 100 * intersection >= percent * union of their shingle sets. component_id is the smallest doc_id reachable; kept marks it. Null and
-    empty texts, and texts without words, have no set and stay alone. Rows that repeat a doc_id get one component if they are linked (their
-    links are those of any of them); a null doc_id is linked by equal sets only. An empty table gives no rows.
+    empty texts, and texts without words, have no set and stay alone. Rows that repeat a doc_id
+    with different texts are judged by their own sets, or by those of any of them; a null doc_id is linked by equal sets only. An empty table gives no rows.
     """
     sig = written(signatures(docs, words, lower), "signatures")
     classes = written(sig.filter("set_digest is not null and doc_id is not null").groupBy("set_digest").agg(F.min("doc_id").alias("id")), "classes")
@@ -120,50 +247,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, lower: b
     rep = written(rep, "banded")
     shared = rep.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     members = written(rep.join(shared, "key"), "members")
-    label = members.select("id", F.col("id").alias("component")).distinct()
-    # the member that shares most buckets is the likeliest centre of its near copies
-    score = members.groupBy("id").agg((F.sum("m") * 1048576 + F.max(F.pmod(F.xxhash64("id"), F.lit(1048576)))).alias("score"))
-    members = written(members.join(score, "id"), "scored")
-    links = tried = None
-    allowed = max(200_000, 8 * classes.count())
-    turn, last, used = 0, False, None
-    while not last:
-        turn += 1
-        if turn == 1:
-            pivot = written(members.groupBy("key").agg(F.max_by("id", "score").alias("pivot")), "pivots")
-            pairs = members.join(pivot, "key").filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        else:
-            # who was a pivot has met all of its bucket
-            members = members.join(used.withColumnRenamed("pivot", "id"), ["key", "id"], "left_anti")
-            labelled = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            open_ = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-            members = labelled = written(labelled.join(open_, "key"), "open")
-            each = labelled.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("n"))
-            total = (each.agg(F.sum("n")).first()[0] or 0) // 2
-            if not total:
-                break
-            members = labelled.drop("component")
-            if last := total <= allowed or turn > 3:
-                other = labelled.select("key", F.col("id").alias("id2"), F.col("component").alias("component2"))
-                pairs = labelled.join(other, "key").filter("id < id2 and component <> component2").select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-            else:  # too many: one more pivot for each bucket
-                pivot = written(labelled.groupBy("key").agg(F.max_by(F.struct("id", "component"), "score").alias("p")).select("key", F.col("p.id").alias("pivot"), F.col("p.component").alias("pc")), "pivots")
-                pairs = labelled.join(pivot, "key").filter("component <> pc").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-                pivot = pivot.drop("pc")
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        used = pivot
-        pairs = written(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        ids = bounded(written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted"), 24)
-        sets = shingles(docs.join(ids, docs["doc_id"].cast("long") == ids["id"], "left_semi"), words, lower)
-        # rows that repeat a doc_id with different texts: any of them may link
-        sets = written(sets, "sets")
-        left = pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
-        sizes = left.filter(100 * F.least(F.size("sa"), F.size("sb")) >= percent * F.greatest(F.size("sa"), F.size("sb")))
-        both = F.size(F.array_intersect("sa", "sb"))
-        found = written(sizes.withColumn("both", both).filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b").distinct(), "found")
-        links = found if links is None else links.unionByName(found)
-        label = components(links)
+    label = components(candidate_links(members, docs, words, percent, lower, classes.count()))
     out = sig.join(classes.withColumnRenamed("id", "class_id"), "set_digest", "left").join(label.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
     component = F.coalesce("component", "class_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
