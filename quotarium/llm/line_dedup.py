@@ -1,9 +1,10 @@
 """Removal of passages that repeat, by winnowing over line hashes (operator 1).
 
-Lines with words are hashed. A gram is the shortest run of lines, from some line on, with at least GRAM words; a window the shortest with at least RUN words. Of the grams inside
-each window the one with the least hash is selected (the rightmost of equals): every run of whole lines with RUN words holds a window, so two copies of it select
-the same gram - the fingerprint is guaranteed. Selected grams are joined with the first document and position where they occur, the match is extended line by line both
-ways, and matched runs of at least RUN words are deleted from the later place.
+Lines with words are hashed. A gram is the shortest run of lines, from some line on, with at least GRAM words; a window the shortest run with at least RUN words from a line
+on, or up to a line. Of the grams inside each window the one with the least hash is selected (the rightmost of equals): copies of a window select
+the same gram - the fingerprint is guaranteed. Only selected grams are counted over the corpus; of those that occur twice, the positions are joined:
+each window meets the first place with its gram and its own lines. From there the match is extended line by line both ways, and matched runs of at least RUN words are
+deleted from the later place. Every line of a repeated run lies in a window inside it, so a run is found whole, wherever its lines' first copies are.
 
 Order is by doc_id, then by a digest of the text, then by line. A deleted line always equals an earlier line, so first copies stay.
 """
@@ -40,35 +41,39 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return owner[some], number[some], word_hashes(data, starts, ends, lower=False), words[some], per
 
 
-def fingerprints(owner: np.ndarray, h: np.ndarray, words: np.ndarray, run: int = RUN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Places (among the given lines) of the selected grams, and the grams' hashes."""
+def fingerprints(owner: np.ndarray, h: np.ndarray, words: np.ndarray, run: int = RUN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Of every window: place (among the given lines) of its selected gram, the gram's hash, the window's first line and hash. Sorted by the gram's place."""
     n = len(h)
     if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     total = np.r_[0, np.cumsum(words)]
-    last = np.searchsorted(owner, owner, side="right")  # end of each line's text
+    text_start, text_end = np.searchsorted(owner, owner, side="left"), np.searchsorted(owner, owner, side="right")
     gram_end = np.searchsorted(total, total[:-1] + gram)
-    run_end = np.searchsorted(total, total[:-1] + run)
     up, down = _powers(_BASE, n + 1), _powers(_INVERSE, n + 1)
     sums = np.r_[np.uint64(0), np.cumsum(h * up[:n])]
-    stop = np.minimum(gram_end, n)
-    value = mix((sums[stop] - sums[:-1]) * down[:n] + (stop - np.arange(n)).astype(np.uint64))
-    value = np.where(gram_end <= last, value, np.uint64(2**64 - 1))
-    whole = np.flatnonzero(run_end <= last)
-    best = whole.copy()
+    hashed = lambda i, j: mix((sums[j] - sums[i]) * down[i] + (j - i).astype(np.uint64))
+    value = hashed(np.arange(n), np.minimum(gram_end, n))
+    value = np.where(gram_end <= text_end, value, np.uint64(2**64 - 1))
+    ends = np.searchsorted(total, total[:-1] + run)
+    starts = np.searchsorted(total, total[1:] - run, side="right") - 1
+    ahead, back = np.flatnonzero(ends <= text_end), np.flatnonzero(starts >= text_start)
+    back = back[ends[starts[back]] != back + 1]  # else it's the window from its first line on
+    first, end = np.r_[ahead, starts[back]], np.r_[ends[ahead], back + 1]
+    best = first.copy()
     k = 1
-    while len(whole):  # at most `run` turns, since every line here has a word
-        at = whole + k
+    while len(first):  # at most `run` turns, since every line here has a word
+        at = first + k
         ok = at < n
-        ok[ok] = gram_end[at[ok]] <= run_end[whole[ok]]
+        ok[ok] = gram_end[at[ok]] <= end[ok]
         if not ok.any():
             break
         better = ok.copy()
         better[ok] = value[at[ok]] <= value[best[ok]]
         best[better] = at[better]
         k += 1
-    at = np.unique(best)
-    return at, value[at]
+    order = np.argsort(best, kind="stable")
+    best, first, end = best[order], first[order], end[order]
+    return best, value[best], first, hashed(first, end)
 
 
 def repeated(h: np.ndarray, words: np.ndarray, other: np.ndarray, hits: list[tuple[int, int]], run: int = RUN) -> list[tuple[int, int]]:
@@ -114,21 +119,23 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             owner, number, h, words, per = lines_of(*buffers(b["text"]))
-            at, value = fingerprints(owner, h, words)
+            at, value, first, whole = fingerprints(owner, h, words)
             n = len(b)
             cut = np.searchsorted(owner, np.arange(n + 1))
-            fcut = np.searchsorted(owner[at], np.arange(n + 1))
             lists = lambda c, v, t: pa.ListArray.from_arrays(pa.array(c, pa.int32()), pa.array(v, t))
-            place = at - cut[owner[at]] if len(at) else at
-            yield pa.RecordBatch.from_arrays(
-                [b["doc"], b["digest"], lists(cut, h.view(np.int64), pa.int64()), lists(cut, words.astype(np.int32), pa.int32()), lists(cut, number.astype(np.int32), pa.int32()), lists(fcut, place.astype(np.int32), pa.int32()), lists(fcut, value.view(np.int64), pa.int64())],
-                names=[*_KEY, "h", "words", "number", "place", "gram"],
-            )
-
-    lines = written(rows.select(*_KEY, "text").mapInArrow(scan, "doc long, digest long, h array<long>, words array<int>, number array<int>, place array<int>, gram array<long>"), "lines")
-    marks = lines.select(*_KEY, F.explode(F.arrays_zip("gram", "place")).alias("f")).select("f.gram", *_KEY, "f.place")
-    first = marks.groupBy("gram").agg(F.min(F.struct(*_KEY, "place")).alias("a"), F.count("*").alias("n")).filter("n > 1").select("gram", "a")
-    hits = marks.join(written(first, "anchors"), "gram").filter(F.struct(*_KEY, "place") != F.col("a"))
+            place = (first - cut[owner[first]]).astype(np.int32)
+            head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
+            windows = pa.ListArray.from_arrays(pa.array(np.r_[head, len(at)], pa.int32()), pa.StructArray.from_arrays([pa.array(place), pa.array(whole.view(np.int64))], ["place", "whole"]))
+            marks = pa.StructArray.from_arrays([pa.array(value[head].view(np.int64)), windows], ["gram", "windows"])
+            marks = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[at[head]], np.arange(n + 1)), pa.int32()), marks)
+            yield pa.RecordBatch.from_arrays([b["doc"], b["digest"], lists(cut, h.view(np.int64), pa.int64()), lists(cut, words.astype(np.int32), pa.int32()), lists(cut, number.astype(np.int32), pa.int32()), marks], names=[*_KEY, "h", "words", "number", "marks"])
+
+    lines = written(rows.select(*_KEY, "text").mapInArrow(scan, "doc long, digest long, h array<long>, words array<int>, number array<int>, marks array<struct<gram: long, windows: array<struct<place: int, whole: long>>>>"), "lines")
+    grams = lines.select(*_KEY, F.explode("marks").alias("f")).select("f.gram", *_KEY, "f.windows")
+    again = bounded(written(grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams"), 24)
+    marks = written(grams.join(again, "gram", "left_semi").select("gram", *_KEY, F.explode("windows").alias("w")).select("gram", "w.whole", *_KEY, "w.place"), "windows")
+    first = marks.groupBy("gram", "whole").agg(F.min(F.struct(*_KEY, "place")).alias("a"), F.count("*").alias("n")).filter("n > 1").select("gram", "whole", "a")
+    hits = marks.join(written(first, "anchors"), ["gram", "whole"]).filter(F.struct(*_KEY, "place") != F.col("a"))
     hits = hits.groupBy(*_KEY, F.col("a.doc").alias("adoc"), F.col("a.digest").alias("adigest")).agg(F.collect_set(F.struct(F.col("place").alias("p"), F.col("a.place").alias("q"))).alias("hits"))
     hits = written(hits, "hits")
     own = hits.join(lines.select(*_KEY, "h", "words", "number").dropDuplicates(_KEY), _KEY)
