@@ -2,36 +2,12 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotarium.storage import scratch, shared_root, written
 
-@functools.cache
-def _own_root() -> str:
-    return tempfile.mkdtemp(prefix="quotarium-")
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return (root or f"file://{_own_root()}").rstrip("/")
-
-
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """Writes a step as Parquet and reads it back: lineage ends there, and a lost executor costs one task."""
-    spark = df.sparkSession
-    path = scratch(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["ascii_lower", "bounded", "discard", "held_out", "pick", "scratch", "shared_root", "small_batches", "table", "written"]
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
