@@ -6,6 +6,7 @@ import functools
 import tempfile
 import uuid
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,9 +35,11 @@ def written(df: DataFrame, what: str) -> DataFrame:
 
 
 def filesystem(spark: SparkSession, path: str):
-    """The Hadoop file system and path of a string, so any store that Spark reaches is reached."""
+    """The Hadoop file system and path of a string, so any store that Spark reaches is reached. Local files are kept without checksum files, since people edit them."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    local = is_instance_of(spark.sparkContext._gateway, fs, "org.apache.hadoop.fs.LocalFileSystem")
+    return (fs.getRaw() if local else fs), p
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

@@ -136,4 +136,4 @@ def test_functions_in_sql(spark):
 
     register(spark)
     r = spark.sql("""select quote_fold('Stra\\u00dfe  X') as f, quote_normal(null) as n, quote_align('abd', 'xxabcxx') as a, decode_answer('{"findings": []}').kind as k""").first()
-    assert (r["f"], r["n"], r["k"]) == ("strasse x", "", "list") and round(r["a"]["score"], 2) == 80.0
+    assert (r["f"], r["n"], r["k"]) == ("strasse x", "", "list") and round(r["a"]["score"], 2) == 66.67
