@@ -17,7 +17,7 @@ def tokenizer(name: str) -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    left = line_dedup.passage_dedup(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_removed_lines", F.sha2("text", 256).alias("text_sha256"))
 
 
