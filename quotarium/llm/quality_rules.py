@@ -26,7 +26,6 @@ def let(value: Column, body) -> Column:
 
 def _repeated(words: Column) -> Column:
     """Words that lie in a window of three words found twice or more; windows are sorted, never compared pairwise."""
-    low = F.lit(0x1FFFFF).cast("long")
     one = F.lit(1)
 
     def covered(at: Column) -> Column:
@@ -35,12 +34,11 @@ def _repeated(words: Column) -> Column:
 
     def starts(h: Column) -> Column:
         def flagged(p: Column) -> Column:
-            full = lambda j: F.get(h, F.get(p, j).bitwiseAND(low).cast("int"))
-            alike = lambda j, k: F.coalesce((F.shiftright(F.get(p, j), 21) == F.shiftright(F.get(p, k), 21)) & (full(j) == full(k)), F.lit(False))
+            alike = lambda j, k: F.coalesce(F.get(p, j)["h"] == F.get(p, k)["h"], F.lit(False))
             at = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda j: alike(j, j - 1) | alike(j, j + 1))
-            return F.sort_array(F.transform(at, lambda j: F.get(p, j).bitwiseAND(low)))
+            return F.sort_array(F.transform(at, lambda j: F.get(p, j)["i"].cast("long")))
 
-        return let(F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(~0x1FFFFF).bitwiseOR(i.cast("long")))), flagged)
+        return let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), flagged)
 
     def of(w: Column) -> Column:
         h = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))

@@ -1,6 +1,7 @@
 from collections import Counter
 
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 from quotarium.llm import quality_rules, queries
 
@@ -27,6 +28,14 @@ def test_base_by_hand(spark):
         assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
 
 
+def test_repeats_behind_two_million_words(spark):
+    """A run of 1002 words that stands twice, both times behind word 2^21."""
+    words = F.concat(F.sequence(F.lit(0), F.lit(2_098_499)), F.sequence(F.lit(2_097_300), F.lit(2_098_301)))
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.lit("l").alias("lang"), F.lit("s").alias("source"), F.array_join(words.cast("array<string>"), " ").alias("text"))
+    r = quality_rules.measured(docs).first()
+    assert (r["n_words"], r["n_repeat_words"]) == (2_099_502, 2004)
+
+
 def test_odd(odd, none):
     got = quality_rules.quality_rules(odd)
     assert got.count() == odd.count() and got.filter("kept and base_failed").count() == 0
