@@ -57,6 +57,8 @@ class ByteCNN:
         return (m, at, view) if where else m
 
     def log_probs(self, x: np.ndarray) -> np.ndarray:
+        if not len(x):  # a block of null and empty texts
+            return np.zeros((0, len(self.classes)), np.float32)
         z = np.concatenate([self.pooled(x[i : i + 64]) for i in range(0, len(x), 64)]) @ self.out + self.out_bias
         z -= z.max(axis=1, keepdims=True)
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from quotarium.llm import language_id, quality_crf, queries
@@ -30,6 +31,19 @@ def test_language_odd(odd, none, docs):
     assert language_id.recognised(odd, model, 0.4).columns == odd.columns
 
 
+@pytest.mark.parametrize("texts", [[None], ["", None, ""], ["abc " * 75_000, ""], ["kurz", "abc " * 75_000, None, "", "abc"]])
+def test_language_of_blocks_without_windows(texts):
+    model = language_id.ByteCNN.fresh(["a", "b"])
+    lang, score = language_id.label(model, pa.array(texts, pa.string()))
+    assert [(x, s) == ("und", 0) for x, s in zip(lang, score)] == [not t for t in texts]
+
+
+def test_language_of_empty_rows_alone(spark):
+    rows = spark.createDataFrame([(i, None if i % 2 else "") for i in range(600)], "doc_id long, text string").coalesce(1)
+    got = language_id.predict(rows, language_id.ByteCNN.fresh(["a", "b"])).collect()
+    assert len(got) == 600 and {(r["lang_pred"], r["score"]) for r in got} == {("und", 0.0)}
+
+
 def test_ids_and_labels_are_no_inputs(docs):
     model = language_id.train(docs)
     some = docs.limit(40)
