@@ -19,7 +19,7 @@ from quotarium.llm.sampling import per_class
 from quotarium.llm.textnum import buffers
 
 WIDTHS, FILTERS, DIM, WINDOW = (2, 3, 4), 12, 8, 256
-#: Bounds of the training sample: texts of each language, windows of each text, languages.
+#: Bounds of the training sample: texts of each language, windows of each text; with more than twice as many languages, each has fewer texts.
 TEXTS, WINDOWS, LANGUAGES = 300, 3, 64
 
 
@@ -116,12 +116,12 @@ def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def train(docs: DataFrame) -> ByteCNN:
-    """Learns from windows of a bounded sample: at most about TEXTS texts of each language, WINDOWS windows of each."""
+    """Learns from windows of a bounded sample: at most about TEXTS texts of each language, fewer if there are very many languages, and WINDOWS windows of each."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    some = per_class(rows, "lang", "doc_id", TEXTS, "language")
+    some = per_class(rows, "lang", "doc_id", TEXTS, "language", 2 * TEXTS * LANGUAGES)
     at = lambda k: F.substring("text", 1 + F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW // 2, F.lit(1))).cast("int"), F.lit(WINDOW))
-    got = some.select("doc_id", "lang", *[at(k).alias(f"w{k}") for k in range(WINDOWS)]).limit(2 * TEXTS * LANGUAGES).collect()
+    got = some.select("doc_id", "lang", *[at(k).alias(f"w{k}") for k in range(WINDOWS)]).collect()
     got.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["lang"]))
     classes = sorted({r["lang"] for r in got})
     raw = [(r[f"w{k}"].encode()[:WINDOW], classes.index(r["lang"])) for r in got for k in range(WINDOWS)]

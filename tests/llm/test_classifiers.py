@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quotarium.llm import language_id, quality_crf, queries
+from quotarium.llm import language_id, quality_crf, queries, sampling
 
 
 def held(i):
@@ -44,6 +44,23 @@ def test_language_of_empty_rows_alone(spark):
     assert len(got) == 600 and {(r["lang_pred"], r["score"]) for r in got} == {("und", 0.0)}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """More languages than the bound of the whole sample would hold at full size."""
+    monkeypatch.setattr(language_id, "TEXTS", 20)
+    monkeypatch.setattr(language_id, "LANGUAGES", 1)
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat('text ', id) as text", "concat('l', id div 100) as lang")
+    monkeypatch.setattr(language_id, "fit", lambda x, y, classes: classes)
+    assert len(language_id.train(docs)) == 20
+
+
+def test_sample_of_many_classes(spark):
+    rows = spark.range(20_000).selectExpr("id", "id % 200 as label")
+    got = [r["count"] for r in sampling.per_class(rows, "label", "id", 50, "x", 4000).groupBy("label").count().collect()]
+    assert len(got) == 200 and 3500 < sum(got) < 4500 and max(got) <= 40
+    null = rows.selectExpr("cast(null as long) as id", "0 as label", "id as other")
+    assert sampling.per_class(null, "label", "id", 50, "x", 4000).count() <= 100
+
+
 def test_ids_and_labels_are_no_inputs(docs):
     model = language_id.train(docs)
     some = docs.limit(40)
