@@ -31,9 +31,20 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8) stays: the one with the smallest doc_id."""
-    gone = bounded(written(minhash.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "near-copies"), 24)
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One document of each group of near duplicates (five words, similarity 0.8) stays: the one with the smallest doc_id.
+
+    If a doc_id is null or repeats, rows are numbered in the order of doc_id (null last) and text, and judged each by its own text under that number.
+    """
+    doc_id = docs["doc_id"].cast("long")
+    rows, ids = docs.agg(F.count("*"), F.count_distinct(doc_id)).first()
+    key = "doc_id"
+    if ids < rows:
+        key = "near_copy_row"
+        docs = written(docs.orderBy(doc_id.asc_nulls_last(), F.xxhash64("text"), "text").withColumn(key, F.monotonically_increasing_id()), "numbered")
+    judged = minhash.near_duplicates(docs.select(docs[key].alias("doc_id"), "text"))
+    gone = bounded(written(judged.filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "near-copies"), 24)
+    left = docs.join(gone, docs[key] == gone["gone_id"], "left_anti")
+    return left if key == "doc_id" else left.drop(key)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

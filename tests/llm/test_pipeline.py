@@ -73,6 +73,15 @@ def test_exact_stage_tells_rows_of_one_id_apart(spark, sf_dir):
     assert got == sorted([(2, "A"), (2, "b"), (4, "")], key=repr)
 
 
+def test_near_stage_tells_rows_apart(spark, sf_dir):
+    """Rows of one doc_id are judged by their own texts, and rows without a doc_id are judged at all."""
+    text = lambda c: " ".join(f"{c}{i}" for i in range(120))
+    rows = [(1, text("a")), (2, text("a") + " end"), (2, text("b")), (None, text("a") + " more"), (None, text("c")), (None, text("c") + " end"), (3, text("b") + " end"), (4, None)]
+    got = [(r["doc_id"], r["text"]) for r in cp.without_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()]
+    kept = {(1, text("a")), (2, text("b")), (4, None)}
+    assert kept < set(got) and len(got) == 4 and (set(got) - kept) < {(None, text("c")), (None, text("c") + " end")}
+
+
 def test_no_rows(spark, sf_dir, none):
     df = none
     for name, f in cp.STAGES:
