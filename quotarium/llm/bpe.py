@@ -1,8 +1,8 @@
 """Exact byte-pair encoding for many texts at once.
 
-Tokens of a text are found segment by segment: a segment ends where no merge can cross, so its
-ids don't depend on its neighbours. Ids of segments are remembered in a bounded dictionary of the
-Python worker; segments not seen yet are merged together, vectorised over all of them. Texts that
+Tokens of a text are found word by word: no merge crosses a word's end, so its
+ids don't depend on its neighbours. Ids of words are remembered in a bounded dictionary of the
+Python worker; words not seen yet are merged together, vectorised over all of them. Texts that
 hold characters outside a checked set go to the library itself.
 """
 
@@ -10,13 +10,18 @@ from __future__ import annotations
 
 import functools
 import json
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from quotarium.llm.textnum import buffers
 
 INF = np.int32(2**31 - 1)
-LONGEST_SEGMENT = 160
+LONGEST_WORD = 160
 CACHE_ENTRIES = 400_000
+#: Words that are told apart at once.
+BLOCK = 1 << 20
 
 
 class PairMerger:
@@ -106,51 +111,6 @@ class PairMerger:
             sym, lens = sym[stay], lens - 1
 
 
-def _cut(flat: np.ndarray, lens: np.ndarray) -> list[bytes]:
-    raw, ends = flat.astype("<u4").tobytes(), np.cumsum(lens) * 4
-    return [raw[a:b] for a, b in zip((ends - lens * 4).tolist(), ends.tolist())]
-
-
-class Segmented:
-    """Base: remembers the ids of segments as little-endian uint32 bytes."""
-
-    def __init__(self, entries: int = CACHE_ENTRIES):
-        self.known: dict[str, bytes] = {}
-        self.entries = entries
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian uint32 bytes."""
-        if len(self.known) > self.entries:
-            self.known.clear()
-        get, out, todo, new = self.known.get, [], [], set()
-        for t in texts:
-            if (x := self.segments(t)) is None:
-                out.append(self.whole(t))
-                continue
-            got = [get(s) for s in x]
-            if None in got:
-                new.update([s for s, g in zip(x, got) if g is None])
-                todo.append((len(out), x))
-                out.append(b"")
-            else:
-                out.append(b"".join(got))
-        if new:
-            self._learn(list(new))
-            known = self.known
-            for i, x in todo:
-                out[i] = b"".join([known[s] for s in x])
-        return out
-
-    def segments(self, text: str) -> list[str] | None:
-        raise NotImplementedError
-
-    def whole(self, text: str) -> bytes:
-        raise NotImplementedError
-
-    def _learn(self, new: list[str]) -> None:
-        raise NotImplementedError
-
-
 class PieceEncoder:
     """A sentencepiece model through its own library: ids without begin and end ids."""
 
@@ -159,12 +119,13 @@ class PieceEncoder:
 
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x, dtype="<u4").tobytes() for x in self.lib.encode(texts, num_threads=1)]
+    def encode(self, col: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string column, as unsigned 32-bit integers; null counts as empty."""
+        return [np.array(x, dtype="<u4") for x in self.lib.encode([t or "" for t in col.to_pylist()], num_threads=1)]
 
 
 #: What the word tokenizer's steps treat alike in the library and here.
-_UNSAFE = re.compile("[^\t\n\x0b\x0c\r\x20-\x7e¡-¬®-įı-ſ‐-‟…]|<\\|")
+_UNSAFE = "[^\\t\\n\\x0b\\x0c\\r\\x20-\\x7e¡-¬®-įı-ſ‐-‟…]|<\\|"
 _NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
@@ -180,12 +141,61 @@ def _byte_chars() -> list[str]:
     return out
 
 
-class WordEncoder(Segmented):
-    """A tokenizers file: ids without added special tokens; strings of special tokens in a text count as the library's default does."""
-
-    def __init__(self, path: str):
-        super().__init__()
-        import regex
+#: Kinds of bytes: white space, letters, digits, anything else.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123), 0xC3, 0xC4, 0xC5]] = _LETTER
+_KIND[48:58] = _DIGIT
+#: Characters from U+00A1 to U+00F7 whose kind their first byte doesn't tell.
+_ODD_KINDS = {_LETTER: "ªµº", _DIGIT: "²³¹¼½¾", _OTHER: "×÷"}
+_TAILS = (b"s", b"t", b"m", b"d", b"re", b"ve", b"ll")
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8 text of the checked set: that of its character."""
+    kind = _KIND[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        pair = data[lead].astype(np.uint16) << 8 | data[lead + 1]
+        for k, chars in _ODD_KINDS.items():
+            kind[lead[np.isin(pair, [int.from_bytes(c.encode()) for c in chars])]] = k
+        kind[lead + 1] = kind[lead]
+        three = lead[data[lead] >= 0xE0]
+        kind[three + 2] = kind[three]
+    return kind
+
+
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where words begin in lower-cased texts of the checked set, as _SPLIT finds them; a word takes the white space before it along, so words tile the texts."""
+    if not len(data):
+        return np.zeros(0, dtype=np.int64)
+    kind = _kinds(data)
+    first = np.zeros(len(data) + 1, dtype=bool)
+    head = (data & 0xC0) != 0x80
+    first[1:-1] = (kind[1:] != kind[:-1]) & (kind[:-1] != _SPACE) | (kind[1:] == _DIGIT) & (kind[:-1] == _DIGIT)
+    first[:-1] &= head
+    first[offsets] = True
+    # an apostrophe that begins a word takes one of some endings along
+    mark = np.flatnonzero(data == 39)
+    mark = mark[(mark == 0) | first[mark] | (kind[mark - 1] == _SPACE)]
+    if len(mark):
+        room = offsets[np.searchsorted(offsets, mark, side="right")] - mark
+        padded = np.r_[data, np.zeros(3, np.uint8)]
+        for tail in _TAILS:
+            at = mark[(room > len(tail)) & np.all([padded[mark + 1 + i] == c for i, c in enumerate(tail)], axis=0)]
+            first[at + 1], first[at + 1 + len(tail)] = False, True
+    return np.flatnonzero(first[:-1])
+
+
+class WordEncoder:
+    """A tokenizers file: ids without added special tokens; strings of special tokens in a text count as the library's default does.
+
+    Words are told apart by Arrow, so only a block's distinct words meet Python. Their ids lie in one growing array, and the ids of all
+    texts of a block are gathered from it at once.
+    """
+
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -199,44 +209,72 @@ class WordEncoder(Segmented):
         )
         if not self.fast:
             return
-        self.find = regex.compile(_SPLIT).findall
         vocab, chars = model["vocab"], _byte_chars()
         self.inner = np.array([vocab[c] for c in chars], dtype=np.int64)
         self.final = np.array([vocab[c + "</w>"] for c in chars], dtype=np.int64)
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.merger = PairMerger(*(np.array(x, dtype=np.int64) for x in zip(*((vocab[a], vocab[b], r, vocab[a + b]) for r, (a, b) in enumerate(merges)))), max(vocab.values()) + 1)
-        self.words: dict[str, bytes] = {}
-
-    def segments(self, text):
-        return None if not self.fast or _UNSAFE.search(text) else text.lower().split()
-
-    def whole(self, text):
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, new):
-        if len(self.words) > self.entries:
-            self.words.clear()
-        words, parts = self.words, []
-        for s in new:
-            if len(s) > LONGEST_SEGMENT:
-                parts.append(None)
-                self.known[s] = self.whole(s)
-            else:
-                parts.append(self.find(s))
-        fresh = list({w for p in parts if p for w in p if w not in words})
-        if fresh:
-            raw = [w.encode() for w in fresh]
-            lens = np.array([len(r) for r in raw], dtype=np.int64)
-            points = np.frombuffer(b"".join(raw), dtype=np.uint8)
-            sym, last = self.inner[points], np.cumsum(lens) - 1
-            sym[last] = self.final[points[last]]
-            words.update(zip(fresh, _cut(*self.merger.merge(sym, lens))))
-        for s, p in zip(new, parts):
-            if p is not None:
-                self.known[s] = b"".join([words[w] for w in p])
+        self.entries = entries
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.flat, self.cuts = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+
+    def encode(self, col: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string column, as unsigned 32-bit integers; null counts as empty."""
+        col = pc.fill_null(col, "")
+        safe = np.zeros(len(col), bool) if not self.fast else ~pc.match_substring_regex(col, _UNSAFE).to_numpy(zero_copy_only=False)
+        data, offsets = buffers(pc.utf8_lower(col if safe.all() else col.filter(pa.array(safe))))
+        starts = word_starts(data, offsets)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.r_[starts, len(data)].astype(np.int32)), pa.py_buffer(data))
+        ids, sizes = [np.zeros(0, dtype="<u4")], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), BLOCK):
+            coded = words.slice(k, BLOCK).dictionary_encode()
+            own = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+            begin = self.cuts[own]
+            size = self.cuts[own + 1] - begin
+            ids.append(self.flat[np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)])
+            sizes.append(size)
+        flat, total = np.concatenate(ids), np.r_[0, np.cumsum(np.concatenate(sizes))]
+        at = total[np.searchsorted(starts, offsets)].tolist()
+        fast = iter(zip(at[:-1], at[1:]))
+        return [flat[slice(*next(fast))] if s else self.whole(col[i].as_py()) for i, s in enumerate(safe.tolist())]
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _slots(self, words: list[str]) -> np.ndarray:
+        """The place of each of some distinct words in the array of known ids."""
+        if len(self.slots) + len(words) > self.entries:
+            self._forget()
+        get = self.slots.get
+        at = [get(w) for w in words]
+        if new := [w for w, k in zip(words, at) if k is None]:
+            learned, sizes = self._learn([w.lstrip("\t\n\x0b\x0c\r ").encode() for w in new])
+            self.flat, self.cuts = np.concatenate([self.flat, learned]), np.concatenate([self.cuts, self.cuts[-1] + np.cumsum(sizes)])
+            self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
+            at = [get(w) for w in words]
+        return np.array(at, dtype=np.int64)
+
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words, one after another, and how many each has. White space alone has none."""
+        sizes = np.zeros(len(words), dtype=np.int64)
+        merged = [k for k, w in enumerate(words) if 0 < len(w) <= LONGEST_WORD]
+        raw = [words[k] for k in merged]
+        lens = np.array([len(r) for r in raw], dtype=np.int64)
+        points = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        sym, last = self.inner[points], np.cumsum(lens) - 1
+        sym[last] = self.final[points[last]]
+        flat, sizes[merged] = self.merger.merge(sym, lens)
+        if not (long := [k for k, w in enumerate(words) if len(w) > LONGEST_WORD]):
+            return flat.astype("<u4"), sizes
+        own = dict(zip(merged, np.split(flat.astype("<u4"), np.cumsum(sizes[merged])[:-1]))) | {k: self.whole(words[k].decode()) for k in long}
+        sizes[long] = [len(own[k]) for k in long]
+        return np.concatenate([own[k] for k in sorted(own)]), sizes
 
 
 @functools.cache
-def encoder(path: str) -> Segmented | PieceEncoder:
+def encoder(path: str) -> WordEncoder | PieceEncoder:
     """One encoder for each file and Python worker."""
     return PieceEncoder(path) if path.endswith(".model") else WordEncoder(path)

@@ -3,13 +3,15 @@
 Documents longer than a sequence are cut; every other piece keeps whole. Packing only needs to know how many pieces
 have each length, a table of at most `capacity` rows, so that table alone goes to the driver. There a bin is
 filled greedily (largest remaining length that fits, again and again); then its smallest piece is replaced by two
-unpacked pieces if their sum fits the gap that leaves more tightly. A filled bin is a pattern of lengths; it's used as often
+unpacked pieces if their sum fits the gap that leaves more tightly. A swap can spend small pieces that later bins need, so the same counts are also packed
+without swaps, and the packing of fewer bins is taken. A filled bin is a pattern of lengths; it's used as often
 as the counts allow, so there are a few thousand patterns for any number of pieces. Pieces are numbered within their length in
 parallel and find their bin by their number.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -24,7 +26,12 @@ from quotarium.llm.common import small_batches, written
 
 
 def best_two_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
-    """(lengths of a bin, number of such bins), in the order filled."""
+    """(lengths of a bin, number of such bins), in the order filled; the greedy bins where swaps don't save any but cost some."""
+    return min(filled(counts, capacity), filled(counts, capacity, swap=False), key=lambda bins: sum(times for _, times in bins))
+
+
+def filled(counts: dict[int, int], capacity: int, swap: bool = True) -> list[tuple[list[int], int]]:
+    """One pass over the counts, with or without the replacement of a bin's smallest piece by two."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for n, c in counts.items():
         left[n] = c
@@ -53,7 +60,7 @@ def best_two_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int],
             used[n] += k
             gap -= n * k
             n = largest(min(gap, n - 1)) if gap else 0
-        if gap and len(bin_) > 1:
+        if swap and gap and len(bin_) > 1:
             small = bin_[-1]
             room = gap + small
             has = left[: room + 1].copy()
@@ -91,20 +98,40 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0, keep
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4")
         for b in batches:
             doc, piece, start, length, crc, own = [], [], [], [], [], []
-            for d, raw in zip(b["doc_id"].to_pylist(), enc.ids(b["text"].to_pylist())):
-                raw += end
-                for k, i in enumerate(range(0, len(raw), 4 * capacity)):
-                    part = raw[i : i + 4 * capacity]
-                    doc.append(d), piece.append(k), start.append(i // 4), length.append(len(part) // 4), crc.append(zlib.crc32(part)), own.append(part)
+            for d, ids in zip(b["doc_id"].to_pylist(), enc.encode(b["text"])):
+                ids = np.concatenate([ids, end])
+                for k, i in enumerate(range(0, len(ids), capacity)):
+                    part = ids[i : i + capacity].tobytes()
+                    doc.append(d), piece.append(k), start.append(i), length.append(len(part) // 4), crc.append(zlib.crc32(part))
+                    if keep_ids:
+                        own.append(part)
             cols = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(own, pa.binary())] * keep_ids, names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(cut, schema)
 
 
+#: Bytes of runs that may be sent to every task.
+RUNS_BYTES = 64 << 20
+_RUN = "struct<first: long, per_bin: long, seq: long, place: long>"
+
+
+def _chunked(runs: list[tuple]) -> list[tuple]:
+    """(length, first numbers of its chunks, chunks of its runs); runs: (length, first, rows, per_bin, seq, place)."""
+    of: dict[int, list[tuple]] = {}
+    for n, first, _, per_bin, seq, place in runs:
+        of.setdefault(n, []).append((first, per_bin, seq, place))
+    out = []
+    for n, own in of.items():
+        own.sort()
+        step = math.isqrt(len(own) - 1) + 1
+        out.append((n, [own[i][0] for i in range(0, len(own), step)], [own[i : i + step] for i in range(0, len(own), step)]))
+    return out
+
+
 def assign(parts: DataFrame, capacity: int, bucket_rows: int = 50_000) -> DataFrame:
     """Adds sequence_id and offset to a written table of pieces (at least doc_id, piece, length)."""
     spark = parts.sparkSession
@@ -124,15 +151,15 @@ def assign(parts: DataFrame, capacity: int, bucket_rows: int = 50_000) -> DataFr
             taken[n] += k * times
             place += n * k
         seq += times
-    table = spark.createDataFrame(runs, "length long, first long, rows long, per_bin long, seq long, place long")
-    # a few runs a length: the list of each length is looked up by binary search in its sorted starts
-    lists = F.broadcast(table.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("first", "per_bin", "seq", "place"))).alias("runs")))
+    # runs of a length in chunks, by their first number: a piece searches the chunks, then one chunk. There are at most a few runs for each length and pattern
+    table = spark.createDataFrame(_chunked(runs), f"length long, heads array<long>, chunks array<array<{_RUN}>>")
+    lists = F.broadcast(table) if 48 * len(runs) <= RUNS_BYTES else table
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     shift = per.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
     inside = Window.partitionBy("bucket", "length").orderBy("doc_id", "piece")
     numbered = rows.withColumn("number", F.row_number().over(inside) - 1).join(shift, ["bucket", "length"]).withColumn("number", F.col("number") + F.col("shift"))
-    run = F.element_at(F.filter("runs", lambda r: r["first"] <= F.col("number")), -1)
-    out = numbered.join(lists, "length").withColumn("run", run).withColumn("k", F.col("number") - F.col("run.first"))
+    chunk = F.element_at("chunks", F.size(F.filter("heads", lambda h: h <= F.col("number"))))
+    out = numbered.join(lists, "length").withColumn("run", F.element_at(F.filter(chunk, lambda r: r["first"] <= F.col("number")), -1)).withColumn("k", F.col("number") - F.col("run.first"))
     out = out.withColumns({"sequence_id": F.col("run.seq") + F.floor(F.col("k") / F.col("run.per_bin")), "offset": F.col("run.place") + (F.col("k") % F.col("run.per_bin")) * F.col("length")})
     return out.select(*parts.columns, F.col("sequence_id").cast("long").alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
 

@@ -56,7 +56,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b["digest"], pa.array([own] * len(b)), pa.array([len(x) // 4 for x in enc.ids(b["text"].to_pylist())], pa.int64())], names=["digest", "tokenizer", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b["digest"], pa.array([own] * len(b)), pa.array([len(x) for x in enc.encode(b["text"])], pa.int64())], names=["digest", "tokenizer", "n_tokens"])
 
     todo.select("digest", "text").mapInArrow(encode, CACHE).write.option("compression", "zstd").parquet(f"{cache}/{uuid.uuid4().hex}")
     counts = spark.read.schema(CACHE).option("recursiveFileLookup", "true").parquet(cache).filter(F.col("tokenizer") == own).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
