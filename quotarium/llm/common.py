@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotarium.storage import scratch, shared_root, written
 
-__all__ = ["ascii_lower", "bounded", "discard", "held_out", "pick", "scratch", "shared_root", "small_batches", "table", "written"]
+__all__ = ["ascii_lower", "bounded", "discard", "held_out", "pick", "scratch", "shared_root", "small_batches", "spread", "table", "written"]
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
@@ -29,6 +29,28 @@ def bounded(df: DataFrame, row_bytes: int, limit: int = 24 << 20) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+#: Keys with more rows than this are dealt over several tasks; and at most so many keys are, whatever the table's size.
+HOT_ROWS, HOT_KEYS = 1024, 50_000
+
+
+def hot_keys(rows: DataFrame, on: list[str], total: int, n: Column | None = None) -> DataFrame:
+    """The keys of a written table that hold very many rows, and into how many shares each is dealt. At most HOT_KEYS rows, so it may be broadcast."""
+    per = max(HOT_ROWS, total // HOT_KEYS)
+    counts = rows.groupBy(*on).agg((F.count("*") if n is None else F.sum(n)).alias("key_rows"))
+    return written(counts.filter(F.col("key_rows") > per).select(*on, F.ceil(F.col("key_rows") / per).cast("int").alias("shares")), "hot")
+
+
+def spread(left: DataFrame, right: DataFrame, on: list[str], by: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """left.join(right, on) where the rows of hot keys on the left are dealt by a hash of `by`, each share with its own copy of the right rows: no task gets all rows of a key."""
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
+    shares = F.coalesce("shares", F.lit(1))
+    dealt = left.join(hot, on, "left").withColumn("share", F.pmod(F.xxhash64(*by), shares).cast("int")).drop("shares")
+    copies = right.join(hot, on, "left").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("shares")
+    return dealt.join(copies, [*on, "share"], how).drop("share")
+
+
 def pick(docs: DataFrame, *names: str) -> DataFrame:
     """Only the columns that an operator reads: others, of whatever name, can't clash with its own."""
     return docs.select(*[docs[n] for n in names])

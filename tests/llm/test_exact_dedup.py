@@ -46,3 +46,20 @@ def test_state_lives_on(spark, tmp_path):
     second, _ = exact_dedup.stream_keys(spark, path, schema, exact_dedup.sha, state)
     rows = second.collect()
     assert [(r["keep_id"], r["group_size"]) for r in rows] == [(9, 2)] and rows[0]["locator"].endswith(".parquet")
+
+
+def test_files_meet_an_older_state(spark, tmp_path):
+    path, schema = str(tmp_path / "in") + "/", "doc_id long, text string"
+    spark.createDataFrame([(1, "Same"), (2, "own")], schema).coalesce(1).write.parquet(path)
+    _, state = exact_dedup.stream_keys(spark, path, schema, exact_dedup.sha)
+    spark.createDataFrame([(9, "SAME"), (4, "own"), (5, "new")], schema).coalesce(1).write.mode("append").parquet(path)
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup_files(spark, path, schema, state=state).collect()}
+    assert got == {1: (9, 2, False), 2: (4, 2, False), 9: (9, 2, True), 4: (4, 2, True), 5: (5, 1, True)}
+
+
+def test_a_frequent_text_is_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("quotarium.llm.common.HOT_ROWS", 5)
+    rows = [(i, "copy" if i % 3 else f"text {i}") for i in range(200)] + [(300, "Copy"), (301, None), (302, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(str(tmp_path / "in"))
+    got = sorted((tuple(r) for r in exact_dedup.exact_dedup(spark.read.parquet(str(tmp_path / "in"))).collect()), key=repr)
+    assert got == brute(rows)
