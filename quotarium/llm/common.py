@@ -33,18 +33,24 @@ def bounded(df: DataFrame, row_bytes: int, limit: int = 24 << 20) -> DataFrame:
 HOT_ROWS, HOT_KEYS = 1024, 50_000
 
 
-def hot_keys(rows: DataFrame, on: list[str], total: int, n: Column | None = None) -> DataFrame:
-    """The keys of a written table that hold very many rows, and into how many shares each is dealt. At most HOT_KEYS rows, so it may be broadcast."""
+def hot_keys(rows: DataFrame, on: list[str], total: int, n: Column | None = None) -> DataFrame | None:
+    """The keys of a written table that hold very many rows, and into how many shares each is dealt; None if there are none.
+
+    At most HOT_KEYS keys can hold more than a HOT_KEYS-th of all rows, so the driver may hold them and they may be broadcast.
+    """
     per = max(HOT_ROWS, total // HOT_KEYS)
+    if total <= per:
+        return None
     counts = rows.groupBy(*on).agg((F.count("*") if n is None else F.sum(n)).alias("key_rows"))
-    return written(counts.filter(F.col("key_rows") > per).select(*on, F.ceil(F.col("key_rows") / per).cast("int").alias("shares")), "hot")
+    shares = counts.filter(F.col("key_rows") > per).select(*on, F.ceil(F.col("key_rows") / per).cast("int").alias("shares"))
+    got = shares.collect()
+    return F.broadcast(rows.sparkSession.createDataFrame(got, shares.schema)) if got else None
 
 
-def spread(left: DataFrame, right: DataFrame, on: list[str], by: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+def spread(left: DataFrame, right: DataFrame, on: list[str], by: list[str], hot: DataFrame | None, how: str = "inner") -> DataFrame:
     """left.join(right, on) where the rows of hot keys on the left are dealt by a hash of `by`, each share with its own copy of the right rows: no task gets all rows of a key."""
-    if hot.isEmpty():
+    if hot is None:
         return left.join(right, on, how)
-    hot = F.broadcast(hot)
     shares = F.coalesce("shares", F.lit(1))
     dealt = left.join(hot, on, "left").withColumn("share", F.pmod(F.xxhash64(*by), shares).cast("int")).drop("shares")
     copies = right.join(hot, on, "left").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("shares")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotarium.llm.common import bounded, small_batches, written
+from quotarium.llm.common import bounded, hot_keys, small_batches, spread, written
 from quotarium.llm.textnum import mix, shingle_sets
 
 BANDS, ROWS = 25, 5
@@ -94,29 +94,35 @@ def shingles(docs: DataFrame, words: int, lower: bool) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """id, component (smallest id reachable) of a table of links a, b. Labels spread along links and jump to their label's label. Nodes that are few enough are broadcast."""
+    """id, component (smallest id reachable) of a table of links a, b. Labels spread along links and jump to their label's label. Nodes that are few enough are broadcast, else links of hubs and members of large components are dealt over tasks."""
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     label = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
-    small = F.broadcast if label.count() * 32 <= 24 << 20 else (lambda df: df)
+    nodes = label.count()
+    few = nodes * 32 <= 24 << 20
+    small = F.broadcast if few else (lambda df: df)
+    hubs = None if few else hot_keys(both, ["b"], both.count())
     while True:
-        near = both.join(small(label.select(F.col("id").alias("b"), F.col("component").alias("c"))), "b").groupBy("a").agg(F.min("c").alias("c"))
+        near = spread(both, small(label.select(F.col("id").alias("b"), F.col("component").alias("c"))), ["b"], ["a"], hubs).groupBy("a").agg(F.min("c").alias("c"))
         step = near.join(small(label), F.col("id") == F.col("a")).select("id", F.col("component").alias("was"), F.least("component", "c").alias("component"))
         step = written(step, "labels")
-        up = step.select(F.col("id").alias("p"), F.col("component").alias("up"))
-        new = written(step.join(small(up), F.col("component") == F.col("p"), "left").select("id", "was", F.least("component", "up").alias("component")), "labels")
+        up = step.select(F.col("id").alias("component"), F.col("component").alias("up"))
+        large = None if few else hot_keys(step, ["component"], nodes)
+        new = written(spread(step, small(up), ["component"], ["id"], large, "left").select("id", "was", F.least("component", "up").alias("component")), "labels")
         if new.filter("was <> component").isEmpty():
             return new.select("id", "component")
         label = new.select("id", "component")
 
 
 def _joined(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs with both sets' sizes and what they share: na, nb, both, and the sets sa, sb."""
-    left = pairs.join(sets.withColumnsRenamed({"id": a, "shingles": "sa"}), a).join(sets.withColumnsRenamed({"id": b, "shingles": "sb"}), b)
+    """Written pairs with both sets' sizes and the sets: na, nb, sa, sb. Pairs of an `a` that has very many are dealt over tasks."""
+    hot = hot_keys(pairs, [a], pairs.count())
+    left = pairs.join(sets.withColumnsRenamed({"id": b, "shingles": "sb"}), b)
+    left = spread(left, sets.withColumnsRenamed({"id": a, "shingles": "sa"}), [a], [b], hot)
     return left.withColumns({"na": F.size("sa"), "nb": F.size("sb")})
 
 
 def _against_pivot(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (family, pivot, id, pivot_label, label): family, pivot, id, linked and the new label, which is the pivot's where they are linked."""
+    """Written pairs (family, pivot, id, pivot_label, label): family, pivot, id, linked and the new label, which is the pivot's where they are linked."""
     rows = _joined(pairs, sets, "pivot", "id").withColumn("both", F.size(F.array_intersect("sa", "sb")))
     linked = 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
     return rows.withColumn("linked", linked).select("family", "pivot", "id", F.when(F.col("linked"), F.col("pivot_label")).otherwise(F.col("label")).alias("label"), "linked")
@@ -144,17 +150,20 @@ def _bounded_sets(refs: DataFrame, column: str, limit: int = 24 << 20) -> DataFr
     return F.broadcast(refs) if size <= limit else refs
 
 
-def _described(rows: DataFrame, refs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _described(rows: DataFrame, refs: DataFrame, sets: DataFrame, percent: int, hot: DataFrame) -> DataFrame:
     """family, id, label, n, cover (shingles in the reference), near (similarity to it) and outside: the first shingles outside the reference, as many as are needed."""
-    all_ = rows.select("family", "id", "label").join(refs, "family").join(sets, "id").withColumns({"n": F.size("shingles"), "cover": F.size(F.array_intersect("shingles", "ref"))})
+    all_ = spread(rows.select("family", "id", "label").join(sets, "id"), refs, ["family"], ["id"], hot).withColumns({"n": F.size("shingles"), "cover": F.size(F.array_intersect("shingles", "ref"))})
     # a partner has at least percent of this set, so it shares at least so many shingles that lie outside the reference
     least = F.ceil(F.col("n") * percent / 100 - F.lit(1e-9)) - F.col("cover")
     outside = F.slice(F.array_except("shingles", "ref"), 1, F.greatest(F.col("n") - F.col("cover") - F.greatest(least, F.lit(1)) + 1, F.lit(0)).cast("int"))
     return all_.select("family", "id", "label", "n", "cover", (F.col("cover") / (F.col("n") + F.size("ref") - F.col("cover"))).alias("near"), outside.alias("outside"))
 
 
+_PART = ["family", "part", "kind"]
+
+
 def _parts(rows: DataFrame, percent: int) -> DataFrame:
-    """family, part, id, label, n, cover of what may still be linked: one row for each shingle outside the reference, and for sizes where the reference covers enough of a set."""
+    """family, part, kind, id, label, n, cover of what may still be linked: one row for each shingle outside the reference, and for sizes where the reference covers enough of a set."""
     by_shingle = rows.select("family", F.explode("outside").alias("part"), "id", "label", "n", "cover", "near")
     covered = rows.filter(100 * F.col("cover") >= percent * F.col("n"))
     # linked sizes differ by a factor of 100 / percent at most: equal or neighbouring places
@@ -162,11 +171,13 @@ def _parts(rows: DataFrame, percent: int) -> DataFrame:
     at = F.explode(F.array(place, place + 1)).alias("part")
     by_size = covered.select("family", at, "id", "label", "n", "cover", "near").withColumn("part", F.xxhash64(F.lit("size"), "part"))
     # only sets small enough to be linked through the reference alone
-    room = by_size.groupBy("family", "part").agg(F.min("n").alias("smallest"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    by_size = by_size.join(room.select("family", "part", "smallest"), ["family", "part"]).filter((100 + percent) * F.col("cover") >= percent * (F.col("n") + F.col("smallest"))).drop("smallest")
-    parts = by_shingle.withColumn("kind", F.lit(0)).unionByName(by_size.withColumn("kind", F.lit(1)))
-    open_ = parts.groupBy("family", "part", "kind").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("family", "part", "kind")
-    return parts.join(open_, ["family", "part", "kind"])
+    parts = written(by_shingle.withColumn("kind", F.lit(0)).unionByName(by_size.withColumn("kind", F.lit(1))), "dealt")
+    hot = hot_keys(parts, _PART, parts.count())
+    room = parts.groupBy(*_PART).agg(F.min("n").alias("smallest"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").drop("lo", "hi")
+    parts = spread(parts, room, _PART, ["id"], hot)
+    parts = written(parts.filter((F.col("kind") == 0) | ((100 + percent) * F.col("cover") >= percent * (F.col("n") + F.col("smallest")))).drop("smallest"), "dealt")
+    open_ = parts.groupBy(*_PART).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select(*_PART)
+    return spread(parts, open_, _PART, ["id"], hot)
 
 
 def _may_link(percent: int) -> Column:
@@ -177,46 +188,48 @@ def _may_link(percent: int) -> Column:
 
 
 def _remaining_pairs(parts: DataFrame, percent: int) -> DataFrame:
-    other = parts.select("family", "part", "kind", F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("n").alias("n2"), F.col("cover").alias("cover2"))
-    both = parts.join(other, ["family", "part", "kind"]).filter((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & _may_link(percent))
+    other = parts.select(*_PART, F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("n").alias("n2"), F.col("cover").alias("cover2"))
+    both = spread(parts, other, _PART, ["id"], hot_keys(parts, _PART, parts.count())).filter((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & _may_link(percent))
     return both.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
 
 
 def _pivots(parts: DataFrame) -> DataFrame:
     """family (new), pivot, id, pivot_label, label: each part's member that is nearest to the reference is the pivot of that part."""
-    best = parts.groupBy("family", "part", "kind").agg(F.max_by(F.struct("id", "label"), F.struct("near", "id")).alias("p"))
-    out = parts.join(best, ["family", "part", "kind"]).filter(F.col("id") != F.col("p.id"))
+    best = parts.groupBy(*_PART).agg(F.max_by(F.struct("id", "label"), F.struct("near", "id")).alias("p"))
+    out = spread(parts, best, _PART, ["id"], hot_keys(parts, _PART, parts.count())).filter(F.col("id") != F.col("p.id"))
     return out.select(F.xxhash64("family", "p.id").alias("family"), F.col("p.id").alias("pivot"), "id", F.col("p.label").alias("pivot_label"), "label").distinct()
 
 
-#: Rounds of pivots before what is left is compared pair by pair, and pairs for each text that are few enough to be.
-ROUNDS, PAIRS, LEAST_PAIRS = 4, 16, 20_000
+#: Pairs for each text that are few enough to be compared one by one. Else parts get pivots in turn, for as long as each round leaves at most this share of the pairs (in
+#: a hundred) of the one before; what no reference set tells apart must be compared in any case.
+PAIRS, LEAST_PAIRS, LEFT = 16, 20_000, 80
 
 
-def candidate_links(members: DataFrame, docs: DataFrame, words: int, percent: int, lower: bool, texts: int) -> DataFrame:
-    """a, b of linked class representatives. members: written (key, id, m) of the buckets with m > 1 members; texts: number of classes."""
+def candidate_links(members: DataFrame, docs: DataFrame, words: int, percent: int, lower: bool, texts: int, full: DataFrame | None) -> DataFrame:
+    """a, b of linked class representatives. members: written (key, id, m) of the buckets with m > 1 members; texts: number of classes; full: buckets of very many members."""
     score = members.groupBy("id").agg((F.sum("m") * 1048576 + F.max(F.pmod(F.xxhash64("id"), F.lit(1048576)))).alias("score"))
     members = written(members.join(score, "id"), "scored")
     pivot = members.groupBy("key").agg(F.max_by("id", "score").alias("pivot"))
-    first = members.join(pivot, "key").filter("id <> pivot").select("pivot", "id").distinct()
+    first = spread(members, pivot, ["key"], ["id"], full).filter("id <> pivot").select("pivot", "id").distinct()
     todo = written(first.select(F.col("pivot").alias("family"), "pivot", "id", F.col("pivot").alias("pivot_label"), F.col("id").alias("label")), "pairs")
     ids = bounded(written(todo.select("pivot").union(todo.select("id")).toDF("id").distinct(), "wanted"), 24)
     # rows that repeat a doc_id with different texts: any of them may link
     sets = written(shingles(docs.join(ids, docs["doc_id"].cast("long") == ids["id"], "left_semi"), words, lower), "sets")
-    links = None
-    for turn in range(ROUNDS):
+    links, before = None, None
+    while True:
         compared = written(_against_pivot(todo, sets, percent), "compared")
         found = compared.filter("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
         links = found if links is None else links.unionByName(found)
         open_ = compared.groupBy("family", "pivot").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
         families = bounded(written(open_.select("family", "pivot", "size"), "families"), 48)
-        rows = compared.join(families.select("family"), "family")
+        hot = hot_keys(open_.select("family", "size"), ["family"], compared.count(), F.col("size"))
+        rows = spread(compared, families.select("family"), ["family"], ["id"], hot)
         refs = _bounded_sets(written(_references(families, rows, sets), "references"), "ref")
-        described = written(_described(rows, refs, sets, percent), "described")
+        described = written(_described(rows, refs, sets, percent, hot), "described")
         # the pivot is only the likeliest centre; the member that is nearest to the consensus is a better one
         nearest = described.groupBy("family").agg(F.max_by(F.struct(F.col("id").alias("pivot"), F.col("label").alias("pivot_label")), F.struct("near", "id")).alias("q"), F.count("*").alias("size"))
         nearest = bounded(written(nearest.filter(F.col("size") >= CONSENSUS_FROM).select("family", "q.*"), "nearest"), 48)
-        again = described.select("family", "id", "label").join(nearest, "family").filter(F.col("id") != F.col("pivot"))
+        again = written(spread(described.select("family", "id", "label"), nearest, ["family"], ["id"], hot).filter(F.col("id") != F.col("pivot")), "again")
         again = written(_against_pivot(again, sets, percent), "compared")
         links = links.unionByName(again.filter("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
         met = described.join(again.select("family", "id", F.col("label").alias("new"), F.col("pivot").alias("q")), ["family", "id"], "left").withColumn("label", F.coalesce("new", "label")).drop("new", "q")
@@ -225,8 +238,9 @@ def candidate_links(members: DataFrame, docs: DataFrame, words: int, percent: in
         total = (each.agg(F.sum("n")).first()[0] or 0) // 2
         if not total:
             return links
-        if total <= max(LEAST_PAIRS, PAIRS * texts) or turn == ROUNDS - 1:
+        if total <= max(LEAST_PAIRS, PAIRS * texts) or (before and 100 * total > LEFT * before):
             break
+        before = total
         todo = written(_pivots(parts), "pairs")
     pairs = written(_remaining_pairs(parts, percent), "pairs")
     sized = _joined(pairs, sets, "a", "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).withColumn("both", F.size(F.array_intersect("sa", "sb")))
@@ -239,15 +253,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, lower: b
 
     Texts are linked if 100 * intersection >= percent * union of their shingle sets. component_id is the smallest doc_id reachable; kept marks it. Null and
     empty texts, and texts without words, have no set and stay alone. Rows that repeat a doc_id
-    with different texts are judged by their own sets, or by those of any of them; a null doc_id is linked by equal sets only. An empty table gives no rows.
+    with different texts are judged by their own sets, or by those of any of them; a null doc_id is linked by equal sets only. Texts of any length count whole. An empty table gives no rows; only
+    doc_id and text are read, so other columns can't clash.
     """
     sig = written(signatures(docs, words, lower), "signatures")
-    classes = written(sig.filter("set_digest is not null and doc_id is not null").groupBy("set_digest").agg(F.min("doc_id").alias("id")), "classes")
+    full, empty = sig.filter("set_digest is not null"), sig.filter("set_digest is null")
+    classes = written(full.groupBy("set_digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")).filter("id is not null"), "classes")
     rep = sig.join(classes, (sig["doc_id"] == classes["id"]) & (sig["set_digest"] == classes["set_digest"])).select("id", F.explode(F.array_distinct("bands")).alias("key")).distinct()
     rep = written(rep, "banded")
-    shared = rep.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    members = written(rep.join(shared, "key"), "members")
-    label = components(candidate_links(members, docs, words, percent, lower, classes.count()))
-    out = sig.join(classes.withColumnRenamed("id", "class_id"), "set_digest", "left").join(label.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
-    component = F.coalesce("component", "class_id", "doc_id")
+    shared = written(rep.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "shared")
+    large = hot_keys(shared, ["key"], rep.count(), F.col("m"))
+    members = written(spread(rep, shared, ["key"], ["id"], large), "members")
+    label = components(candidate_links(members, docs, words, percent, lower, classes.count(), large))
+    named = classes.join(label.select("id", "component"), "id", "left").select("set_digest", F.coalesce("component", "id").alias("component"))
+    often = hot_keys(classes, ["set_digest"], sig.count(), F.col("copies"))
+    out = spread(full.select("doc_id", "n_shingles", "set_digest"), named, ["set_digest"], ["doc_id"], often, "left").select("doc_id", "n_shingles", "component")
+    out = out.unionByName(empty.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component")))
+    component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

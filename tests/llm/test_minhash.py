@@ -68,12 +68,13 @@ def test_families(spark, seed, base):
     assert rows_of(minhash.near_duplicates(df, 3, 85)) == brute(rows, 3, 85)
 
 
-@pytest.mark.parametrize("rounds, pairs", [(1, 0), (4, 0)])
-def test_few_and_many_rounds(spark, monkeypatch, rounds, pairs):
-    """However early or late pairs are compared, links are the same."""
-    monkeypatch.setattr(minhash, "ROUNDS", rounds)
-    monkeypatch.setattr(minhash, "LEAST_PAIRS", pairs)
-    monkeypatch.setattr(minhash, "PAIRS", pairs)
+@pytest.mark.parametrize("left, rows", [(0, 1024), (90, 3)])
+def test_few_and_many_rounds(spark, monkeypatch, left, rows):
+    """However early or late pairs are compared, and however many keys are dealt over tasks, links are the same."""
+    monkeypatch.setattr(minhash, "LEFT", left)
+    monkeypatch.setattr(minhash, "LEAST_PAIRS", 0)
+    monkeypatch.setattr(minhash, "PAIRS", 0)
+    monkeypatch.setattr("quotarium.llm.common.HOT_ROWS", rows)
     test_families(spark, 3, True)
 
 
