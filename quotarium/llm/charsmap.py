@@ -8,11 +8,14 @@ prefix keeps its character. Each byte of the result remembers the span of source
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
 
 MARK = "▁".encode()
+#: Kind of the pieces that a user defined, in a model file.
+USER_DEFINED = 4
 
 
 def _fields(b: bytes):
@@ -73,9 +76,12 @@ def read_model(path: str) -> PieceModel:
 
 
 class Normalizer:
-    """Longest-prefix normalisation through a compiled character map, keeping the source of each byte."""
+    """Longest-prefix normalisation through a compiled character map, keeping the source of each byte. Pieces that a user defined stay as they are."""
 
-    def __init__(self, charsmap: bytes, dummy_prefix: bool = True, trims: bool = False, escapes: bool = True):
+    def __init__(self, charsmap: bytes, dummy_prefix: bool = True, trims: bool = False, escapes: bool = True, defined: Iterable[str] = ()):
+        self.own: dict[int, list[bytes]] = {}
+        for d in sorted((d.encode() for d in defined), key=len, reverse=True):
+            self.own.setdefault(d[0], []).append(d)
         self.units: tuple[int, ...] = ()
         self.blob = b""
         if charsmap:
@@ -107,8 +113,12 @@ class Normalizer:
         """(replacement, source start, source end) from left to right."""
         i = 0
         while i < len(text):
-            n, to = self.longest(text, i) if self.units else (0, 0)
-            if n:
+            kept = next((d for d in self.own.get(text[i], ()) if text.startswith(d, i)), None) if self.own else None
+            n, to = (0, 0) if kept or not self.units else self.longest(text, i)
+            if kept:
+                n = len(kept)
+                yield kept, i, i + n
+            elif n:
                 yield self.blob[to : self.blob.index(b"\0", to)], i, i + n
             else:
                 b = text[i]
@@ -119,13 +129,15 @@ class Normalizer:
     def align(self, text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
         """The normalised text, and for each of its bytes the start and end of its source.
 
-        The dummy prefix has the empty source span at 0 (or at the first kept byte). Bytes of one replacement share its span.
+        The dummy prefix has the empty source span at 0, or behind the spaces that are trimmed. Bytes of one replacement share its span.
         """
-        if not self.units and not self.trims:
+        if not self.units and not self.trims and not self.own:
             return self._align_identity(text)
         space = MARK if self.escapes else b" "
         parts = list(self._parts(text))
+        lead = 0
         if self.trims:
+            lead = next((a for new, a, _ in parts if new != b" "), 0)
             kept, blank = [], True
             for new, a, b in parts:
                 while blank and new.startswith(b" "):
@@ -139,7 +151,7 @@ class Normalizer:
                     kept.append((new, a, b))
             parts = kept
         if self.dummy_prefix and parts:
-            parts = [(b" ", parts[0][1], parts[0][1]), *parts]
+            parts = [(b" ", lead, lead), *parts]
         out, start, end = [], [], []
         for new, a, b in parts:
             new = new.replace(b" ", space)
@@ -170,13 +182,26 @@ def piece_lengths(m: PieceModel) -> np.ndarray:
     return np.array([1 if k == 6 else 0 if k == 3 else -1 if k == 2 else len(p.encode()) for p, k in zip(m.pieces, m.kinds)], dtype=np.int64)
 
 
-def project(ids: np.ndarray, lengths: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Source byte span of each piece. A single unknown piece takes what the other pieces leave."""
+def _with_unknown(ids: np.ndarray, size: np.ndarray, pieces: list[str], new: bytes) -> np.ndarray:
+    """Sizes where unknown pieces (-1) get theirs: each takes what stands before the pieces that follow it, at least one character."""
+    size, at, unknown = size.copy(), 0, np.flatnonzero(size < 0).tolist()
+    for k, i in enumerate(unknown):
+        at += int(size[unknown[k - 1] + 1 if k else 0 : i].sum())
+        last = k + 1 == len(unknown)
+        after = "".join(pieces[x] for x, n in zip(ids[i + 1 : None if last else unknown[k + 1]].tolist(), size[i + 1 :].tolist()) if n > 0).encode()
+        end = len(new) - len(after) if last else new.find(after, at + 1)
+        if end <= at:
+            raise ValueError("pieces don't cover the normalised text")
+        size[i] = end - at
+        at = end
+    return size
+
+
+def project(ids: np.ndarray, lengths: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: list[str] | None = None, new: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """Source byte span of each piece. Unknown pieces take what the other pieces, found one after another in the normalised text, leave."""
     size = lengths[ids]
-    if (unknown := np.flatnonzero(size < 0)).size:
-        if unknown.size > 1:
-            raise ValueError("spans of more than one unknown piece can't be told apart")
-        size[unknown[0]] = len(start) - size[size > 0].sum()
+    if (size < 0).any():
+        size = _with_unknown(ids, size, pieces or [], new)
     stop = np.cumsum(size)
     if len(stop) and stop[-1] != len(start):
         raise ValueError("pieces don't cover the normalised text")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotarium.llm.charsmap import Normalizer, piece_lengths, project, read_model
+from quotarium.llm.charsmap import USER_DEFINED, Normalizer, piece_lengths, project, read_model
 from quotarium.llm.common import small_batches
 
 
@@ -26,13 +26,13 @@ class OffsetEncoder:
 
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
         m = read_model(path)
-        self.norm = Normalizer(m.charsmap, m.dummy_prefix, m.trims, m.escapes)
-        self.lengths = piece_lengths(m)
+        self.norm = Normalizer(m.charsmap, m.dummy_prefix, m.trims, m.escapes, [p for p, k in zip(m.pieces, m.kinds) if k == USER_DEFINED])
+        self.lengths, self.pieces = piece_lengths(m), m.pieces
 
     def spans(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Byte span in the text of each id; begin, end and pieces of the dummy prefix alone have empty spans."""
-        _, start, end = self.norm.align(text.encode("utf-8", "replace"))
-        return project(np.asarray(ids, dtype=np.int64), self.lengths, start, end)
+        new, start, end = self.norm.align(text.encode("utf-8", "replace"))
+        return project(np.asarray(ids, dtype=np.int64), self.lengths, start, end, self.pieces, bytes(new))
 
 
 @functools.cache
@@ -44,7 +44,8 @@ def encode_with_offsets(docs: DataFrame, model: str, full: bool = True) -> DataF
     """Ids with begin and end ids, byte spans and the decoded text of every document (null text: empty, which is the begin and end ids alone).
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256, spans_tile (the spans follow one another and cover all bytes) and, with full, ids,
-    span_start, span_end and decoded. Repeated rows and null doc_ids are encoded like any other; an empty table gives no rows.
+    span_start, span_end and decoded. Several bytes of one character share its span; an unknown piece spans what its neighbours leave. Repeated rows and null doc_ids are encoded like any other, texts of any
+    length whole; an empty table gives no rows. Only doc_id and text are read, so other columns can't clash.
     """
     small_batches(docs.sparkSession, mb=2)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_tile boolean" + ", ids array<int>, span_start array<long>, span_end array<long>, decoded string" * full
