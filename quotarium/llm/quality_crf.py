@@ -41,28 +41,38 @@ WIDTH = MEASURES * (len(LEVELS) + 1)
 STATES = 2
 
 
+#: Bytes whose lines are measured at once; a longer line is measured alone.
+BLOCK = 4 << 20
+
+
 def line_levels(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all lines of all texts: (lines, MEASURES) of levels, bytes of each line, and the n + 1 cuts between texts."""
+    """For all lines of all texts: (lines, MEASURES) of levels, bytes of each line, and the n + 1 cuts between texts. Block by block, so memory follows the lines and not the bytes."""
     data, offsets = buffers(col)
     newline = np.flatnonzero(data == 10)
     starts = np.unique(np.r_[offsets[:-1][np.diff(offsets) > 0], newline + 1])
     starts = starts[starts < len(data)]
-    ends = np.minimum(np.r_[starts[1:], len(data)], len(data))
-    # a line ends before its newline, and at its text's end
-    at = np.searchsorted(newline, starts)
-    nl = np.r_[newline, len(data)][at]
-    ends = np.minimum(ends, nl)
+    stops = np.r_[starts[1:], len(data)] if len(starts) else starts
     cuts = np.searchsorted(starts, offsets)
-    n = ends - starts
-    if not len(starts):
-        return np.zeros((0, MEASURES), np.uint8), n, cuts
+    out, i = [np.zeros((0, MEASURES), np.uint8)], 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(stops, starts[i] + BLOCK, side="right")))
+        out.append(_levels(data[starts[i] : stops[j - 1]], starts[i:j] - starts[i]))
+        i = j
+    # a line ends before its newline, and at its text's end
+    ended = np.zeros(len(starts), dtype=bool)
+    ended[np.flatnonzero(stops > starts)] = data[stops[stops > starts] - 1] == 10
+    return np.concatenate(out), stops - starts - ended, cuts
+
+
+def _levels(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Levels of the lines that begin at the places; each ends where the next begins, with its newline if it has one."""
+    stops = np.r_[starts[1:], len(data)]
+    n = stops - starts - (data[stops - 1] == 10)
     size = np.maximum(n, 1).astype(np.float32)
     out = np.zeros((len(starts), MEASURES), dtype=np.float32)
-    for k in range(8):
-        total = np.zeros(len(data) + 1, dtype=np.int64)
-        np.cumsum(_CLASS[k][data], out=total[1:])
-        out[:, k] = (total[ends] - total[starts]) / size
-    ws, we = spans(data, offsets)
+    for k in range(8):  # a newline is in no class
+        out[:, k] = np.add.reduceat(_CLASS[k][data], starts, dtype=np.int64) / size
+    ws, we = spans(data, np.r_[starts, len(data)])
     h = word_hashes(data, ws, we)
     line = np.searchsorted(starts, ws, side="right") - 1
     words = np.bincount(line, minlength=len(starts)).astype(np.float32)
@@ -78,7 +88,7 @@ def line_levels(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     out[:, 11] = np.bincount(line[order], weights=again, minlength=len(starts)) / some
     out[:, 12] = np.minimum(n / some / 20, 1)
     out[:, 13] = np.minimum(np.log1p(words) / 8, 1)
-    return np.searchsorted(LEVELS, out, side="left").astype(np.uint8), n, cuts
+    return np.searchsorted(LEVELS, out, side="left").astype(np.uint8)
 
 
 def _index(levels: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -185,7 +195,7 @@ def score(model: LineCRF, levels: np.ndarray, size: np.ndarray, cuts: np.ndarray
 
 
 def train(docs: DataFrame, labels: DataFrame) -> LineCRF:
-    """Learns from a bounded sample: at most about DOCS documents of each quality, the lines of each from a hashed place on, LINES at most. Held-out ids are left out."""
+    """Learns from a bounded sample: at most about DOCS documents of each quality, the lines of each from a hashed place on, LINES at most. Held-out ids are left out; of rows that repeat an id one counts."""
     small_batches(docs.sparkSession, mb=2)
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
     some = F.broadcast(per_class(marks, "quality", "doc_id", DOCS, "quality"))
@@ -200,7 +210,8 @@ def train(docs: DataFrame, labels: DataFrame) -> LineCRF:
                 out.append(levels[i : min(j, i + LINES)].tobytes())
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["quality"], pa.array(out, pa.binary())], names=["doc_id", "quality", "levels"])
 
-    got = sorted(rows.mapInArrow(run, "doc_id long, quality int, levels binary").collect(), key=lambda r: (r["doc_id"], r["quality"], r["levels"]))
+    some = rows.mapInArrow(run, "doc_id long, quality int, levels binary").groupBy("doc_id", "quality").agg(F.min("levels").alias("levels"))
+    got = sorted(some.collect(), key=lambda r: (r["doc_id"], r["quality"], r["levels"]))
     if not got:
         return LineCRF(np.zeros(3 * WIDTH + 1), 0.0, np.zeros((STATES, STATES)))
     return fit([np.frombuffer(r["levels"], dtype=np.uint8).reshape(-1, MEASURES) for r in got], np.array([r["quality"] for r in got]))
@@ -233,7 +244,7 @@ def good(docs: DataFrame, model: LineCRF, threshold: float = THRESHOLD) -> DataF
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Trains on labelled rows that aren't held out, then scores every row.
 
-    A null or empty text has no lines and scores 0.5; without labels every score is 0.5. Repeated rows score alike; a null doc_id isn't held out and has no label. An empty
-    table gives no rows.
+    A null or empty text has no lines and scores 0.5; without labels every score is 0.5. Repeated rows score alike; a null doc_id isn't held out and has no label. A text of any length
+    is scored by all its lines. An empty table gives no rows; only doc_id and text are read, so other columns can't clash.
     """
     return predict(docs, train(docs, labels))
