@@ -49,7 +49,7 @@ class ByteCNN:
         """x: (windows, WINDOW) of byte codes. Maximum of each filter, and its place."""
         wide = max(WIDTHS)
         e = np.ascontiguousarray(self.emb[np.pad(x, ((0, 0), (0, wide - 1)), constant_values=256)].reshape(len(x), -1))
-        view = np.lib.stride_tricks.as_strided(e, (len(x), x.shape[1], wide * DIM), (e.strides[0], DIM * 4, 4))
+        view = np.lib.stride_tricks.as_strided(e, (len(x), x.shape[1], wide * DIM), (e.strides[0], DIM * e.itemsize, e.itemsize))
         z = view.reshape(-1, wide * DIM) @ self.stacked()
         z = z.reshape(len(x), x.shape[1], -1)
         at = z.argmax(axis=1) if where else None
@@ -64,33 +64,39 @@ class ByteCNN:
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
+def gradients(m: ByteCNN, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    """Mean cross entropy of some windows, and its derivatives by emb, filters, bias, out and out_bias."""
+    wide = max(WIDTHS)
+    h, at, view = m.pooled(x, where=True)
+    z = h @ m.out + m.out_bias
+    z -= z.max(axis=1, keepdims=True)
+    p = np.exp(z)
+    p /= p.sum(axis=1, keepdims=True)
+    loss = float(-np.log(p[np.arange(len(y)), y]).mean())
+    p[np.arange(len(y)), y] -= 1
+    p /= len(y)
+    dh = (p @ m.out.T) * (h > 0)
+    row = np.arange(len(x))[:, None]
+    dw = np.einsum("bf,bfk->kf", dh, view[row, at])
+    demb = np.zeros_like(m.emb)
+    padded = np.pad(x, ((0, 0), (0, wide - 1)), constant_values=256)
+    back = dh[:, :, None] * m.stacked().T[None]
+    for k in range(wide):
+        np.add.at(demb, padded[row, at + k].ravel(), back[:, :, k * DIM : (k + 1) * DIM].reshape(-1, DIM))
+    demb[256] = 0
+    return loss, [demb, *[dw[: w * DIM, j * FILTERS : (j + 1) * FILTERS] for j, w in enumerate(WIDTHS)], dh.sum(axis=0), h.T @ p, p.sum(axis=0)]
+
+
 def fit(x: np.ndarray, y: np.ndarray, classes: list[str], epochs: int = 12, batch: int = 64, rate: float = 4e-3) -> ByteCNN:
     m = ByteCNN.fresh(classes)
     r = np.random.default_rng(11)
     params = [m.emb, *m.filters, m.bias, m.out, m.out_bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    t, wide = 0, max(WIDTHS)
+    t = 0
     for _ in range(epochs):
         order = r.permutation(len(x))
         for i in range(0, len(x), batch):
-            xb, yb = x[order[i : i + batch]], y[order[i : i + batch]]
-            h, at, view = m.pooled(xb, where=True)
-            z = h @ m.out + m.out_bias
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(yb)), yb] -= 1
-            p /= len(yb)
-            dh = (p @ m.out.T) * (h > 0)
-            row = np.arange(len(xb))[:, None]
-            seen = view[row, at]  # (batch, features, wide * DIM)
-            dw = np.einsum("bf,bfk->kf", dh, seen)
-            demb = np.zeros_like(m.emb)
-            padded = np.pad(xb, ((0, 0), (0, wide - 1)), constant_values=256)
-            back = dh[:, :, None] * m.stacked().T[None]
-            for k in range(wide):
-                np.add.at(demb, padded[row, at + k].ravel(), back[:, :, k * DIM : (k + 1) * DIM].reshape(-1, DIM))
-            demb[256] = 0
-            grads = [demb, *[dw[: w * DIM, j * FILTERS : (j + 1) * FILTERS] for j, w in enumerate(WIDTHS)], dh.sum(axis=0), h.T @ p, p.sum(axis=0)]
+            _, grads = gradients(m, x[order[i : i + batch]], y[order[i : i + batch]])
             t += 1
             for w, g, a, b in zip(params, grads, first, second):
                 a *= 0.9
@@ -111,7 +117,7 @@ def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     length = np.minimum(offsets[own + 1] - start, WINDOW)
     at = start[:, None] + np.arange(WINDOW)
     inside = np.arange(WINDOW) < length[:, None]
-    x = np.where(inside, data[np.minimum(at, len(data) - 1)] if len(data) else 0, 256).astype(np.int16)
+    x = np.where(inside, data[np.minimum(at, len(data) - 1)].astype(np.int16) if len(data) else np.int16(0), np.int16(256))
     return x, own, length
 
 
@@ -197,6 +203,6 @@ def identify(docs: DataFrame) -> DataFrame:
     """Trains on the rows with a language that aren't held out, then predicts every row.
 
     lang_pred is und, with score 0, if the text is null or has no letter, or if there is nothing to learn from. Repeated rows are predicted alike; a null doc_id isn't held
-    out. An empty table gives no rows.
+    out. Of a text of any length all windows count. An empty table gives no rows; only doc_id, text and, to learn, lang are read, so other columns can't clash.
     """
     return predict(docs, train(docs))
