@@ -1,16 +1,15 @@
-"""Removal of passages that repeat, by winnowing over line hashes (operator 1).
+"""Removal of passages that repeat, by winnowing (operator 1).
 
-Lines with words are hashed. A gram is the shortest run of lines, from some line on, with at least GRAM words; a window the shortest run with at least RUN words from a line
-on, or up to a line. Of the grams inside each window the one with the least hash is selected (the rightmost of equals): copies of a window select
-the same gram - the fingerprint is guaranteed. Only selected grams are counted over the corpus; of those that occur twice, the positions are joined:
-each window meets the first place with its gram and its own lines. From there the match is extended line by line both ways, and matched runs of at least RUN words are
-deleted from the later place. Every line of a repeated run lies in a window inside it, so a run is found whole, wherever its lines' first copies are.
+Fingerprints are winnowed over the hashes of words, not of whole lines: passages of over RUN words also stand inside longer lines whose rest differs, where no line
+hash finds them. Whole lines that repeat are a special case.
 
-Order is by doc_id, then by a digest of the text, then by line. A deleted line always equals an earlier line, so first copies stay.
+A gram is GRAM words from some word on; a window is the RUN words from some word on. Of the grams inside each window the one with the least hash is selected (the rightmost of equals): copies of a window
+select the same gram - the fingerprint is guaranteed. Neighbouring windows that select the same gram make a stretch: the match around that gram, extended both ways as far as the gram is
+selected. Only selected grams are counted over the corpus, and only of those that occur twice the positions are joined: of equal stretches the later ones
+go at once, and of grams that stand in different stretches the windows are compared one by one. A word goes if, and only if, a window with it stands earlier.
 
-passage_dedup does the same with words for lines, so that passages inside longer lines are found too; whole lines that repeat are a special case of it. Windows are
-the runs of RUN words. Neighbouring windows that select the same gram make a stretch: of equal stretches the later ones go at once, and only
-grams that stand in different stretches have their windows compared one by one. A word goes if, and only if, a window with it stands earlier.
+Order is by doc_id, then by a digest of the text, then by word, so first copies stay. Windows are told apart by two 64-bit hashes, of the gram and of all their
+words; bytes aren't compared.
 """
 
 from __future__ import annotations
@@ -22,89 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotarium.llm.common import bounded, small_batches, written
-from quotarium.llm.textnum import _BASE, _DOWN, _INVERSE, _UP, _powers, buffers, mix, spans, word_hashes
+from quotarium.llm.common import bounded, hot_keys, small_batches, spread, written
+from quotarium.llm.textnum import _DOWN, _UP, buffers, mix, spans, word_hashes
 
 RUN, GRAM = 50, 20
 #: Words whose windows are hashed at once; _UP and _DOWN reach one block and the windows that start in it.
 _BLOCK = 1 << 19
 
 
-def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all lines with a word: text number, line number in it, hash, words. Last: lines of each text."""
-    newline = np.flatnonzero(data == 10)
-    full = np.diff(offsets) > 0
-    # a text of k newlines has k + 1 lines, the last perhaps empty; an empty text has none
-    starts = np.sort(np.r_[offsets[:-1][full], newline + 1])
-    owner = np.searchsorted(offsets[1:], np.sort(np.r_[offsets[:-1][full], newline]), side="right")
-    ends = np.sort(np.r_[newline, offsets[1:][full]])
-    per = np.bincount(owner, minlength=len(offsets) - 1)
-    number = np.arange(len(starts)) - (np.cumsum(per) - per)[owner]
-    ws, _ = spans(data, offsets)
-    words = np.searchsorted(ws, ends) - np.searchsorted(ws, starts)
-    some = words > 0
-    starts, ends = starts[some], ends[some]
-    return owner[some], number[some], word_hashes(data, starts, ends, lower=False), words[some], per
-
-
-def fingerprints(owner: np.ndarray, h: np.ndarray, words: np.ndarray, run: int = RUN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Of every window: place (among the given lines) of its selected gram, the gram's hash, the window's first line and hash. Sorted by the gram's place."""
-    n = len(h)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    total = np.r_[0, np.cumsum(words)]
-    text_start, text_end = np.searchsorted(owner, owner, side="left"), np.searchsorted(owner, owner, side="right")
-    gram_end = np.searchsorted(total, total[:-1] + gram)
-    up, down = _powers(_BASE, n + 1), _powers(_INVERSE, n + 1)
-    sums = np.r_[np.uint64(0), np.cumsum(h * up[:n])]
-    hashed = lambda i, j: mix((sums[j] - sums[i]) * down[i] + (j - i).astype(np.uint64))
-    value = hashed(np.arange(n), np.minimum(gram_end, n))
-    value = np.where(gram_end <= text_end, value, np.uint64(2**64 - 1))
-    ends = np.searchsorted(total, total[:-1] + run)
-    starts = np.searchsorted(total, total[1:] - run, side="right") - 1
-    ahead, back = np.flatnonzero(ends <= text_end), np.flatnonzero(starts >= text_start)
-    back = back[ends[starts[back]] != back + 1]  # else it's the window from its first line on
-    first, end = np.r_[ahead, starts[back]], np.r_[ends[ahead], back + 1]
-    best = first.copy()
-    k = 1
-    while len(first):  # at most `run` turns, since every line here has a word
-        at = first + k
-        ok = at < n
-        ok[ok] = gram_end[at[ok]] <= end[ok]
-        if not ok.any():
-            break
-        better = ok.copy()
-        better[ok] = value[at[ok]] <= value[best[ok]]
-        best[better] = at[better]
-        k += 1
-    order = np.argsort(best, kind="stable")
-    best, first, end = best[order], first[order], end[order]
-    return best, value[best], first, hashed(first, end)
-
-
-def repeated(h: np.ndarray, words: np.ndarray, other: np.ndarray, hits: list[tuple[int, int]], run: int = RUN) -> list[tuple[int, int]]:
-    """Runs (first, last line) of h, around the hits, that equal lines of other and have enough words. Both may be one text."""
-    out = []
-    done: dict[int, int] = {}
-    for p, a in sorted(hits):
-        d = p - a
-        if p < done.get(d, -1):
-            continue
-        lo, hi = max(0, d), min(len(h), len(other) + d)
-        equal = h[lo:hi] == other[lo - d : hi - d]
-        at = p - lo
-        if not equal[at]:
-            continue
-        no = np.flatnonzero(~equal)
-        k = int(np.searchsorted(no, at))
-        first = int(no[k - 1]) + 1 if k else 0
-        last = int(no[k]) if k < len(no) else len(equal)
-        done[d] = lo + last
-        if words[lo + first : lo + last].sum() >= run:
-            out.append((lo + first, lo + last - 1))
-    return out
-
-
 _KEY = ["doc", "digest"]
 
 
@@ -113,71 +37,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumns({"doc": F.coalesce("doc_id", F.lit(2**63 - 1)), "digest": F.xxhash64("text")})
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, text (what is left), n_lines, n_removed_lines of every row.
-
-    Null counts as empty; an empty text has no lines. Lines without words are in no run, but go with a run that encloses them. Rows of one doc_id and text are
-    one document: all of them lose the same lines. A null doc_id comes last in the order. An empty table gives no rows.
-    """
-    small_batches(docs.sparkSession)
-    rows = _keyed(docs)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            owner, number, h, words, per = lines_of(*buffers(b["text"]))
-            at, value, first, whole = fingerprints(owner, h, words)
-            n = len(b)
-            cut = np.searchsorted(owner, np.arange(n + 1))
-            lists = lambda c, v, t: pa.ListArray.from_arrays(pa.array(c, pa.int32()), pa.array(v, t))
-            place = (first - cut[owner[first]]).astype(np.int32)
-            head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
-            windows = pa.ListArray.from_arrays(pa.array(np.r_[head, len(at)], pa.int32()), pa.StructArray.from_arrays([pa.array(place), pa.array(whole.view(np.int64))], ["place", "whole"]))
-            marks = pa.StructArray.from_arrays([pa.array(value[head].view(np.int64)), windows], ["gram", "windows"])
-            marks = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[at[head]], np.arange(n + 1)), pa.int32()), marks)
-            yield pa.RecordBatch.from_arrays([b["doc"], b["digest"], lists(cut, h.view(np.int64), pa.int64()), lists(cut, words.astype(np.int32), pa.int32()), lists(cut, number.astype(np.int32), pa.int32()), marks], names=[*_KEY, "h", "words", "number", "marks"])
-
-    lines = written(rows.select(*_KEY, "text").mapInArrow(scan, "doc long, digest long, h array<long>, words array<int>, number array<int>, marks array<struct<gram: long, windows: array<struct<place: int, whole: long>>>>"), "lines")
-    grams = lines.select(*_KEY, F.explode("marks").alias("f")).select("f.gram", *_KEY, "f.windows")
-    again = bounded(written(grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams"), 24)
-    marks = written(grams.join(again, "gram", "left_semi").select("gram", *_KEY, F.explode("windows").alias("w")).select("gram", "w.whole", *_KEY, "w.place"), "windows")
-    first = marks.groupBy("gram", "whole").agg(F.min(F.struct(*_KEY, "place")).alias("a"), F.count("*").alias("n")).filter("n > 1").select("gram", "whole", "a")
-    hits = marks.join(written(first, "anchors"), ["gram", "whole"]).filter(F.struct(*_KEY, "place") != F.col("a"))
-    hits = hits.groupBy(*_KEY, F.col("a.doc").alias("adoc"), F.col("a.digest").alias("adigest")).agg(F.collect_set(F.struct(F.col("place").alias("p"), F.col("a.place").alias("q"))).alias("hits"))
-    hits = written(hits, "hits")
-    own = hits.join(lines.select(*_KEY, "h", "words", "number").dropDuplicates(_KEY), _KEY)
-    both = own.join(lines.select(F.col("doc").alias("adoc"), F.col("digest").alias("adigest"), F.col("h").alias("ah")).dropDuplicates(["adoc", "adigest"]), ["adoc", "adigest"])
-
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc, digest, runs = [], [], []
-            num = lambda c, i: b[c][i].values.to_numpy(zero_copy_only=False)
-            for i in range(len(b)):
-                pairs = [(x["p"], x["q"]) for x in b["hits"][i].as_py()]
-                if got := repeated(num("h", i), num("words", i), num("ah", i), pairs):
-                    number = num("number", i)
-                    doc.append(b["doc"][i].as_py()), digest.append(b["digest"][i].as_py()), runs.append([{"a": int(number[x]), "z": int(number[y])} for x, y in got])
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(digest, pa.int64()), pa.array(runs, pa.list_(pa.struct([("a", pa.int32()), ("z", pa.int32())])))], names=[*_KEY, "runs"])
-
-    cut = both.mapInArrow(extend, "doc long, digest long, runs array<struct<a: int, z: int>>")
-    cut = bounded(written(cut.groupBy(*_KEY).agg(F.flatten(F.collect_list("runs")).alias("runs")), "cuts"), 128)
-
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text, n, gone = [], [], []
-            for t, runs in zip(b["text"].to_pylist(), b["runs"].to_pylist()):
-                own = t.split("\n") if t else []
-                drop = np.zeros(len(own) + 1, dtype=np.int64)
-                for r in runs or ():
-                    drop[r["a"]] += 1
-                    drop[r["z"] + 1] -= 1
-                drop = np.cumsum(drop)
-                n.append(len(own)), gone.append(int((drop[:-1] > 0).sum()))
-                text.append("\n".join([x for x, d in zip(own, drop.tolist()) if not d]) if gone[-1] else t)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(text, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["doc_id", "text", "n_lines", "n_removed_lines"])
-
-    return rows.join(cut, _KEY, "left").select("doc_id", "text", "runs").mapInArrow(remove, "doc_id long, text string, n_lines long, n_removed_lines long")
-
-
 def word_windows(h: np.ndarray, run: int = RUN, gram: int = GRAM, block: int = _BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Block by block, of the windows from each word on: first word, place and hash of the selected gram, the window's hash, and sums for hashes of longer runs."""
     for a in range(0, len(h) - run + 1, block):
@@ -250,7 +109,8 @@ def passage_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, text (what is left), n_lines, n_removed_lines (those that went whole) of every row.
 
     Deletes each word in a run of RUN words, across lines or inside one, that stands earlier in the order. Null counts as empty; an empty text has no lines. Rows of one doc_id and
-    text are one document. A null doc_id comes last in the order. An empty table gives no rows.
+    text are one document. A null doc_id comes last in the order. Texts of any length are read whole, in blocks. An empty table gives no rows; only doc_id and text are read, so other
+    columns can't clash. A passage that very many documents share is dealt over tasks.
     """
     small_batches(docs.sparkSession)
     rows = _keyed(docs)
@@ -271,14 +131,23 @@ def passage_dedup(docs: DataFrame) -> DataFrame:
 
     scanned = written(rows.select(*_KEY, "text").mapInArrow(scan, "doc long, digest long, marks array<struct<gram: long, whole: long, place: int, n: int>>, hits array<struct<place: int, n: int>>"), "stretches")
     marks = scanned.select(*_KEY, F.explode("marks").alias("m")).select("m.*", *_KEY)
-    again = bounded(written(marks.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "grams"), 24)
-    marks = written(marks.join(again, "gram", "left_semi"), "marks")
-    here = F.struct(*_KEY, "place")
+    place = [*_KEY, "place"]
+    counted = lambda df, on: written(df.groupBy(*on).agg(F.count("*").alias("c")).filter("c > 1"), "counts")
+    total = lambda df: df.agg(F.sum("c")).first()[0] or 0
+    again = counted(marks, ["gram"])
+    marks = written(spread(marks, bounded(again.select("gram"), 24), ["gram"], place, hot_keys(again, ["gram"], total(again), F.col("c"))), "marks")
     first = written(marks.groupBy("gram", "whole").agg(F.min(F.struct(*_KEY, "place", "n")).alias("a"), F.count("*").alias("c")), "first")
-    later = lambda of, anchors: of.join(anchors.filter("c > 1").select("gram", "whole", "a"), ["gram", "whole"]).filter(here != F.struct("a.doc", "a.digest", "a.place"))
+
+    def later(of: DataFrame, anchors: DataFrame) -> DataFrame:
+        """The rows that aren't the first with their window."""
+        found = anchors.filter("c > 1")
+        hot = hot_keys(found, ["gram", "whole"], total(found), F.col("c"))
+        return spread(of, found.select("gram", "whole", "a"), ["gram", "whole"], place, hot).filter(F.struct(*place) != F.struct("a.doc", "a.digest", "a.place"))
+
     hits = later(marks, first).select(*_KEY, "place", "n")
-    mixed = written(first.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "mixed")
-    todo = first.join(bounded(mixed, 24), "gram", "left_semi").select("a.*").groupBy(*_KEY).agg(F.collect_list(F.struct("place", "n")).alias("want"))
+    mixed = counted(first.select("gram"), ["gram"])
+    todo = spread(first.drop("c"), bounded(mixed.select("gram"), 24), ["gram"], ["whole"], hot_keys(mixed, ["gram"], total(mixed), F.col("c")))
+    todo = todo.select("a.*").groupBy(*_KEY).agg(F.collect_list(F.struct("place", "n")).alias("want"))
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -296,7 +165,7 @@ def passage_dedup(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b["doc"].take(take), b["digest"].take(take), pa.array(value[at].view(np.int64)), pa.array(whole[at].view(np.int64)), pa.array((at + a - cut[own]).astype(np.int32))], names=[*_KEY, "gram", "whole", "place"])
 
     windows = written(rows.select(*_KEY, "text").join(_small(written(todo, "todo"), "want"), _KEY).mapInArrow(single, "doc long, digest long, gram long, whole long, place int"), "windows")
-    anchors = written(windows.groupBy("gram", "whole").agg(F.min(here).alias("a"), F.count("*").alias("c")).filter("c > 1"), "anchors")
+    anchors = written(windows.groupBy("gram", "whole").agg(F.min(F.struct(*place)).alias("a"), F.count("*").alias("c")).filter("c > 1"), "anchors")
     hits = hits.unionByName(later(windows, anchors).select(*_KEY, "place", F.lit(1).alias("n"))).unionByName(scanned.select(*_KEY, F.explode("hits").alias("h")).select(*_KEY, "h.*"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

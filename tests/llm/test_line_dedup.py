@@ -10,69 +10,6 @@ from quotarium.llm import line_dedup, queries
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def brute(rows, run=50):
-    """Lines with words that are kept: of every run of whole lines with enough words that stood before, the later lines go."""
-    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
-    first, kept = {}, []
-    for at, (doc, text) in enumerate(rows):
-        lines = [x for x in (text or "").split("\n") if re.search(WORD, x)]
-        n = [len(re.findall(WORD, x)) for x in lines]
-        drop = set()
-        for i in range(len(lines)):
-            for j in range(i + 1, len(lines) + 1):
-                if sum(n[i:j]) >= run:
-                    place = first.setdefault(tuple(lines[i:j]), (at, i))
-                    if place != (at, i):
-                        drop.update(range(i, j))
-                    if sum(n[i + 1 : j]) >= run:
-                        break
-        kept.append((doc, [x for i, x in enumerate(lines) if i not in drop]))
-    return kept
-
-
-def sorted_rows(df):
-    return sorted(((r["doc_id"], [x for x in (r["text"] or "").split("\n") if re.search(WORD, x)]) for r in df.collect()), key=repr)
-
-
-@pytest.mark.parametrize("seed", range(3))
-def test_like_brute_force(spark, seed):
-    """Runs whose lines have their first copies in different documents, tails of a few words, repeats inside one document."""
-    rng = random.Random(seed)
-    pool = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.choice([1, 5, 12, 30, 60]))) for _ in range(14)]
-    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.9 else f"own {i} {k}" for k in range(rng.randrange(16)))) for i in range(60)]
-    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
-    assert sorted_rows(got) == sorted(brute(rows), key=repr)
-
-
-def test_on_documents(docs):
-    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect() if len(r["text"] or "") < 20_000]
-    got = line_dedup.line_dedup(docs.sparkSession.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted_rows(got) == sorted(brute(rows), key=repr)
-
-
-def test_odd(odd, none):
-    got = line_dedup.line_dedup(odd)
-    assert got.count() == odd.count() and got.columns == ["doc_id", "text", "n_lines", "n_removed_lines"]
-    by = {}
-    for r in got.collect():
-        by.setdefault(r["doc_id"], []).append(r)
-    assert by[0][0]["n_lines"] == 0 and by[1][0]["text"] == "" and by[10][0]["n_removed_lines"] == 0 and by[11][0]["n_removed_lines"] == 1500
-    assert line_dedup.line_dedup(none).count() == 0
-
-
-def test_every_window_is_guaranteed():
-    """Two copies of a window select the same gram wherever they stand."""
-    rng = np.random.default_rng(1)
-    h = rng.integers(1, 2**63, 200).astype(np.uint64)
-    words = rng.integers(1, 30, 200)
-    h[120:160], words[120:160] = h[20:60], words[20:60]
-    owner = np.repeat([0, 1], 100)
-    at, value, first, whole = line_dedup.fingerprints(owner, h, words)
-    a = {(int(w), int(v)) for v, f, w in zip(value, first, whole) if 20 <= f < 50}
-    b = {(int(w), int(v)) for v, f, w in zip(value, first, whole) if 120 <= f < 150}
-    assert len(a & b) >= 25
-
-
 def brute_words(rows, run=50):
     """Words that are kept: those in no run of words that stood before."""
     first, kept = {}, []
@@ -127,6 +64,19 @@ def test_passages_odd(odd, none):
     assert line_dedup.passage_dedup(none).count() == 0
 
 
+def test_a_frequent_passage_is_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr("quotarium.llm.common.HOT_ROWS", 4)
+    test_passages_like_brute_force(spark, 3)
+
+
+def test_copies_of_a_window_select_the_same_gram():
+    rng = np.random.default_rng(1)
+    h = rng.integers(1, 2**63, 400).astype(np.uint64)
+    h[240:320] = h[40:120]
+    (_, best, value, whole, _), = line_dedup.word_windows(h)
+    assert (whole[240:271] == whole[40:71]).all() and (value[240:271] == value[40:71]).all() and (best[240:271] - 200 == best[40:71]).all()
+
+
 def test_blocks_make_no_difference():
     h = np.random.default_rng(2).integers(1, 2**63, 700).astype(np.uint64)
     whole = np.concatenate([w[3] for w in line_dedup.word_windows(h)])

@@ -6,6 +6,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quotarium.llm import charsmap, pieces, queries, token_counts
@@ -43,7 +44,26 @@ def test_cache(spark, tmp_path):
     assert sorted(map(tuple, token_counts.count_tokens(more, MODEL, cache).filter("doc_id < 4").collect())) == first
     assert spark.read.option("recursiveFileLookup", "true").parquet(cache).count() == 4
     token_counts.count_tokens(rows, WORDS, cache).collect()
-    assert spark.read.option("recursiveFileLookup", "true").parquet(cache).select("tokenizer").distinct().count() == 2
+    assert spark.read.option("recursiveFileLookup", "true").parquet(cache).select(F.regexp_extract("_metadata.file_path", "tokenizer=([0-9a-f]+)", 1)).distinct().count() == 2
+
+
+def test_each_content_is_encoded_once(spark, tmp_path):
+    """Whatever the ids of its rows: null, repeated, or both."""
+    rows = [(1, "a b"), (1, "a b"), (None, "a b"), (None, "c"), (None, "c"), (4, "d"), (4, "e"), (5, None), (6, "")]
+    docs, cache = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), str(tmp_path / "cache")
+    got = token_counts.count_tokens(docs, MODEL, cache)
+    assert got.count() == len(rows)
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(cache)
+    assert stored.count() == stored.select("digest").distinct().count() == 5
+
+
+def test_query_meets_a_filled_cache(spark, docs, tmp_path, monkeypatch):
+    """The same table again: the join to stored counts gives all of them, and nothing is encoded."""
+    cache = str(tmp_path / "cache")
+    first = sorted((tuple(r) for r in token_counts.count_tokens(docs, MODEL, cache).collect()), key=repr)
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(cache).count()
+    again = sorted((tuple(r) for r in token_counts.count_tokens(docs, MODEL, cache).collect()), key=repr)
+    assert first == again and spark.read.option("recursiveFileLookup", "true").parquet(cache).count() == stored
 
 
 TEXTS = st.text(st.one_of(st.characters(blacklist_categories=["Cs"]), st.sampled_from("ab '\n\t éß ﬁ½Ⅷ's9<|endoftext|>")), max_size=60)
@@ -100,11 +120,64 @@ def test_offsets_by_the_library(lib):
 
 
 def test_piece_odd(odd, none, lib):
-    got = sorted(((r["doc_id"], r["n_tokens"], r["ids"], r["decoded"]) for r in pieces.encode_with_offsets(odd.filter("doc_id is null or doc_id <> 12"), MODEL).collect()), key=repr)
+    got = sorted(((r["doc_id"], r["n_tokens"], r["ids"], r["decoded"]) for r in pieces.encode_with_offsets(odd, MODEL).collect()), key=repr)
     want = []
-    for r in odd.filter("doc_id is null or doc_id <> 12").collect():
+    for r in odd.collect():
         ids = lib.encode(r["text"] or "", add_bos=True, add_eos=True)
         want.append((r["doc_id"], len(ids), ids, lib.decode(ids)))
     assert got == sorted(want, key=repr)
     assert pieces.encode_with_offsets(none, MODEL).count() == 0
     assert isinstance(charsmap.read_model(MODEL).is_bpe, bool)
+
+
+def bytes_at(text):
+    out = [0]
+    for c in text:
+        out.append(out[-1] + len(c.encode()))
+    return out
+
+
+ODD_TEXTS = st.text(st.one_of(st.characters(blacklist_categories=["Cs"]), st.sampled_from(list(" \u3000\u00a0\tﬁ½Ⅷｶﾞé\u0301한글①㌔ＡＢ") + ["x"])), max_size=40)
+
+
+@pytest.mark.parametrize("prefix, escape, trim", [(True, True, True), (True, True, False), (False, True, True), (False, False, True), (True, False, False)])
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nmt_nfkc_cf", "nfkc"])
+def test_longest_prefixes_of_a_compiled_map(rule, prefix, escape, trim):
+    """Normal form and offsets are those of the library's own normaliser, with real compiled maps."""
+    lib = sentencepiece.SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=prefix, escape_whitespaces=escape, remove_extra_whitespaces=trim)
+    spec = dict(charsmap._fields(lib.serialized_normalizer_spec()))
+    own = charsmap.Normalizer(spec[2], prefix, trim, escape)
+    assert own.units
+
+    @given(ODD_TEXTS)
+    @settings(max_examples=80, deadline=None)
+    def check(text):
+        want, offsets = lib.normalize(text, with_offsets=True)
+        new, start, end = own.align(text.encode())
+        assert new.decode() == want and len(start) == len(end) == len(new)
+        at, source = bytes_at(want), bytes_at(text)
+        assert [int(start[x]) for x in at[:-1]] == [source[x] for x in offsets[:-1]]
+        assert (end >= start).all() and (start[1:] >= start[:-1]).all()
+
+    check()
+    text = "ﬁne ½ " * 20_000
+    assert own.align(text.encode())[0].decode() == lib.normalize(text)
+
+
+def test_defined_pieces_stay():
+    own = charsmap.Normalizer(dict(charsmap._fields(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_normalizer_spec()))[2], False, False, True, ["½", "½ﬁ", "Ⅷx"])
+    new, start, end = own.align("½ﬁ½Ⅷ ﬁ".encode())
+    assert new.decode() == "½ﬁ½VIII▁fi" and start.tolist()[:5] == [0] * 5 and end.tolist()[:5] == [5] * 5
+
+
+def test_several_unknown_pieces():
+    """ids 0: unknown; the others are literal. Between two known pieces an unknown one takes all."""
+    pieces_, lengths = ["<unk>", "ab", "c", "<s>"], np.array([-1, 2, 1, 0])
+    new = b"zzabyycxab"
+    at = np.arange(len(new))
+    a, z = charsmap.project(np.array([3, 0, 1, 0, 2, 0, 1]), lengths, at, at + 1, pieces_, new)
+    assert list(zip(a.tolist(), z.tolist())) == [(0, 0), (0, 2), (2, 4), (4, 6), (6, 7), (7, 8), (8, 10)]
+    a, z = charsmap.project(np.array([1, 0]), lengths, at[2:6] - 2, at[2:6] - 1, pieces_, new[2:6])
+    assert list(zip(a.tolist(), z.tolist())) == [(0, 2), (2, 4)]
+    with pytest.raises(ValueError):
+        charsmap.project(np.array([0, 1]), lengths, at[2:4] - 2, at[2:4] - 1, pieces_, new[2:4])
