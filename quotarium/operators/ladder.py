@@ -1,19 +1,19 @@
 """The match ladder: is a quote in its document, how surely, and on which page.
 
 Findings meet their document once. The exact and the fragmented rung are built-in expressions on the joined row; only rows that both
-leave open hand their text to Python for the fuzzy rung, in small Arrow batches. No row meets a document other than its own.
+leave open hand their text to Python for the fuzzy rung. No row meets a document other than its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quotarium import settings as S
-from quotarium.functions.alignment import partial_alignment, unfolded
+from quotarium.functions.alignment import Aligned, partial_alignments, unfolded
 from quotarium.functions.text import fragments, normalize
 from quotarium.operators.assembly import page_at
 from quotarium.settings import Settings
@@ -52,25 +52,36 @@ def joined(findings: DataFrame, docs: DataFrame) -> DataFrame:
     return prepared(findings).join(own, "filename", "left")
 
 
-def _fuzzy(settings: Settings):
-    names = ["fuzzy_score", "fuzzy_start", "fuzzy_text"]
+#: Pairs and characters that are aligned at once.
+PAIRS, LETTERS = 256, 1 << 21
+_FUZZY = T.StructType().add("score", T.DoubleType()).add("start", T.IntegerType()).add("end", T.IntegerType())
+
+
+def _aligned(needles: list[str | None], texts: list[str | None]) -> list[Aligned | None]:
+    """Alignments of the pairs that have a text, block by block."""
+    out: list[Aligned | None] = [None] * len(texts)
+    block, size = [], 0
+    for i, text in enumerate(texts):
+        if text is not None:
+            block.append(i)
+            size += len(text)
+        if block and (len(block) == PAIRS or size >= LETTERS or i == len(texts) - 1):
+            for k, a in zip(block, partial_alignments([needles[k] for k in block], [texts[k] for k in block])):
+                out[k] = a
+            block, size = [], 0
+    return out
+
+
+@F.arrow_udf(_FUZZY)
+def _fuzzy(needle: pa.Array, text: pa.Array) -> pa.Array:
+    return pa.array([None if a is None else a._asdict() for a in _aligned(needle.to_pylist(), text.to_pylist())], to_arrow_type(_FUZZY))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            score, start, shown = [], [], []
-            for needle, text, display in zip(b["open_cf"].to_pylist(), b["open_text"].to_pylist(), b["open_display"].to_pylist()):
-                if text is None:
-                    score.append(None), start.append(None), shown.append(None)
-                    continue
-                a = partial_alignment(needle, text)
-                score.append(a.score), start.append(a.start)
-                hit = a.score >= settings.near_threshold
-                cut = slice(a.start, a.end) if settings.compat_matched_text or not hit else slice(unfolded(display, a.start), unfolded(display, a.end))
-                shown.append(display[cut] if hit else None)
-            kept = [c for c in b.schema.names if not c.startswith("open_")]
-            yield pa.RecordBatch.from_arrays([*[b[c] for c in kept], pa.array(score, pa.float64()), pa.array(start, pa.int32()), pa.array(shown, pa.string())], names=[*kept, *names])
 
-    return run
+@F.arrow_udf(T.StringType())
+def _shown(display: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
+    """Slices of texts at places of their case-folded forms."""
+    rows = zip(display.to_pylist(), start.to_pylist(), end.to_pylist())
+    return pa.array([None if t is None else t[unfolded(t, a) : unfolded(t, z)] for t, a, z in rows], pa.string())
 
 
 def verify(findings: DataFrame, docs: DataFrame, settings: Settings = Settings(), fuzzy: bool = True) -> DataFrame:
@@ -79,7 +90,6 @@ def verify(findings: DataFrame, docs: DataFrame, settings: Settings = Settings()
     findings: at least filename and snippet; docs: as assembly gives them, one row a filename. Without fuzzy the third rung is left
     out, and what the first two don't find is not_found with score 0. A finding of a file that the corpus lacks is pdf_missing; blank snippets are not_found.
     """
-    spark = findings.sparkSession
     names = [c for c in findings.columns if c not in VERDICT]
     rows = joined(findings.select(*names), docs)
     layer = F.coalesce(F.col("has_text_layer"), F.lit(False))
@@ -94,22 +104,20 @@ def verify(findings: DataFrame, docs: DataFrame, settings: Settings = Settings()
         score = F.when(found.isNotNull(), F.lit(100.0)).otherwise(F.lit(0.0))
         method = F.when(F.col("exact").isNotNull(), "exact").when(F.col("parts").isNotNull(), "fragmented").otherwise("none")
         return rows.select(*names, F.coalesce(status, F.lit(S.NOT_FOUND)).alias("verification_status"), score.alias("match_score"), method.alias("match_method"), page_at(F.col("page_offsets"), found).alias("page_number"), F.lit("").alias("matched_text"))
-    first = rows.select(
-        *names, status.alias("first_status"), found.alias("found"), F.length("snippet_cf").alias("snippet_length"), "page_offsets",
-        F.when(still, F.col("snippet_cf")).alias("open_cf"), F.when(still, F.col("full_cf")).alias("open_text"), F.when(still, F.col("full_display")).alias("open_display"),
-    )
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in first.schema.fields if not f.name.startswith("open_"))
-    done = first.mapInArrow(_fuzzy(settings), f"{kept}, fuzzy_score double, fuzzy_start int, fuzzy_text string")
-    score = F.col("fuzzy_score")
+    # only texts of rows that are still open go to Python; the others' arguments are null
+    first = rows.select(*names, "page_offsets", "full_display", status.alias("first_status"), found.alias("found"), F.length("snippet_cf").alias("snippet_length"), _fuzzy(F.when(still, F.col("snippet_cf")), F.when(still, F.col("full_cf"))).alias("fuzzy"))
+    score, start, end = (F.col(f"fuzzy.{c}") for c in ("score", "start", "end"))
+    near = F.coalesce(score >= settings.near_threshold, F.lit(False))
     sure = (score >= settings.fuzzy_threshold) & (F.col("snippet_length") >= settings.min_fuzzy_length)
-    near = score >= settings.near_threshold
     final = F.coalesce("first_status", F.when(near & sure, S.FUZZY).when(near, S.NEAR).otherwise(S.NOT_FOUND))
     method = F.when(F.col("first_status") == S.VERIFIED, "exact").when(F.col("first_status") == S.FRAGMENTED, "fragmented").when(near, "fuzzy").otherwise("none")
-    place = F.coalesce("found", F.when(near, F.col("fuzzy_start")))
+    place = F.coalesce("found", F.when(near, start))
     total = F.when(F.col("found").isNotNull(), F.lit(100.0)).otherwise(F.coalesce(score, F.lit(0.0)))
-    return done.select(*names, final.alias("verification_status"), total.alias("match_score"), method.alias("match_method"), page_at(F.col("page_offsets"), place).alias("page_number"), F.coalesce("fuzzy_text", F.lit("")).alias("matched_text"))
+    if settings.compat_matched_text:
+        shown = F.when(near, F.substr("full_display", start + 1, end - start))
+    else:
+        shown = _shown(F.when(near, F.col("full_display")), start, end)
+    return first.select(*names, final.alias("verification_status"), total.alias("match_score"), method.alias("match_method"), page_at(F.col("page_offsets"), place).alias("page_number"), F.coalesce(shown, F.lit("")).alias("matched_text"))
 
 
 def located(passages: DataFrame, docs: DataFrame, words: int = 5) -> DataFrame:

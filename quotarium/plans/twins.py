@@ -73,6 +73,41 @@ def _verdicts(kind: str) -> tuple[str, ...]:
     )
 
 
+FUZZY = _found("fuzzy", r"regexp_replace(cut, '^(.{40}).(.{30}).', '\1~\2~')")
+SHOWN = f"shown as (select filename, string_agg(display, ' ' order by page_no) as full_display from (select filename, i as page_no, {_norm('line')} as display from (select filename, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i from docs)) group by filename)"
+#: Windows of every STEP-th place are scored first. A window that moves on by one changes its LCS by one at most, so between two of them only such are scored that could be the best.
+STEP = 8
+
+
+def _aligned(kind: str) -> tuple[str, ...]:
+    """All three rungs. The LCS is kept as a bit vector of at most 126 bits; the shorter text slides over the longer one."""
+    k = kind
+    run = lambda part: f"n - bit_count(list_reduce({part}, lambda v, x: ((v + (v & x)) | xor(v, v & x)) & every, every))::bigint"
+    return (
+        f"open_{k} as (select finding_ord, needle, full_cf, length(needle) as nn, length(full_cf) as nt from q_{k} where full_cf is not null and length(trim(full_cf)) >= 50 and needle <> '' and p0 < 0 and not (p1 >= 0 and p2 >= 0))",
+        f"pairs_{k} as (select finding_ord, nt, 0 as swapped, needle as a, full_cf as b, nn as n, nt as m from open_{k} where nn <= nt union all select finding_ord, nt, 1, full_cf, needle, nt, nn from open_{k} where nn >= nt)",
+        f"letters_{k} as (select finding_ord, swapped, c, sum(1::hugeint << (i - 1)::hugeint)::hugeint as mask from (select finding_ord, swapped, unnest(string_split(a, '')) as c, generate_subscripts(string_split(a, ''), 1) as i from pairs_{k}) group by all)",
+        f"places_{k} as (select finding_ord, swapped, unnest(string_split(b, '')) as c, generate_subscripts(string_split(b, ''), 1) as i from pairs_{k})",
+        f"masks_{k} as (select finding_ord, swapped, list(coalesce(mask, 0::hugeint) order by i) as ms from places_{k} left join letters_{k} using (finding_ord, swapped, c) group by all)",
+        f"ready_{k} as materialized (select p.finding_ord, p.swapped, p.nt, p.n::bigint as n, p.m::bigint as m, ms, (1::hugeint << p.n::hugeint) - 1 as every from pairs_{k} p join masks_{k} using (finding_ord, swapped))",
+        f"some_{k} as materialized (select finding_ord, swapped, pos, {run('ms[pos + 1 : pos + n]')} as v from (select *, unnest(list_distinct(list_append(range(0, m - n + 1, {STEP}), m - n))) as pos from ready_{k}))",
+        f"gaps_{k} as (select *, lead(pos) over w as next_pos, lead(v) over w as next_v, max(v) over (partition by finding_ord, swapped) as top from some_{k} window w as (partition by finding_ord, swapped order by pos))",
+        f"rest_{k} as (select finding_ord, swapped, pos, {run('ms[pos + 1 : pos + n]')} as v from (select r.*, unnest(range(g.pos + 1, g.next_pos)) as pos from gaps_{k} g join ready_{k} r using (finding_ord, swapped) where (g.v + g.next_v + g.next_pos - g.pos) // 2 >= g.top))",
+        f"full_{k} as (select finding_ord, swapped, pos, v from some_{k} union all select * from rest_{k})",
+        f"best_full_{k} as (select finding_ord, swapped, max(v) as v, arg_max(pos, (v, -pos)) as pos from full_{k} group by all)",
+        f"parts_{k} as (select finding_ord, swapped, nt, n, m, p, p as place, 0 as a, p as z, {run('ms[1 : p]')} as v from (select *, unnest(range(1, n)) as p from ready_{k}) union all select finding_ord, swapped, nt, n, m, p, n + m + n - p, m - p, m, {run('ms[m - p + 1 : m]')} from (select *, unnest(range(1, n)) as p from ready_{k}))",
+        f"scored_{k} as (select finding_ord, swapped, nt, place, a, z, 200.0::double * v / (n + p) as score from parts_{k} union all select finding_ord, swapped, r.nt, r.n + f.pos, f.pos, f.pos + r.n, 100.0::double * f.v / r.n from best_full_{k} f join ready_{k} r using (finding_ord, swapped))",
+        f"won_{k} as (select finding_ord, score, case when swapped = 1 then 0 else a end as a, case when swapped = 1 then nt else z end as z from (select *, row_number() over (partition by finding_ord order by score desc, swapped, place) as r from scored_{k}) where r = 1)",
+        f"""ladder_{k} as (select v.snippet_id, v.filename, v.finding_ord,
+            case when verification_status <> 'not_found' or score is null or score < 93 then verification_status when score >= 97 and length(q.needle) >= 40 then 'verified_fuzzy' else 'near_match' end as verification_status,
+            case when verification_status in ('verified', 'verified_fragmented') then 100.0::double else coalesce(score, 0.0::double) end as match_score,
+            case verification_status when 'verified' then 'exact' when 'verified_fragmented' then 'fragmented' else case when score >= 93 then 'fuzzy' else 'none' end end as match_method,
+            case when verification_status in ('verified', 'verified_fragmented') then page_number when score >= 93 then len(list_filter(q.starts, lambda s: s <= w.a))::bigint end as page_number,
+            case when score >= 93 then substr(full_display, w.a + 1, w.z - w.a) else '' end as matched_text
+            from verdicts_{k} v join q_{k} q using (finding_ord) left join won_{k} w using (finding_ord) left join shown on shown.filename = v.filename)""",
+    )
+
+
 def _json(code: str) -> str:
     return f"json_object('label_code', {code}, 'snippet', quote, 'reasoning', ' it says so ', 'confidence', 'High')::varchar"
 
@@ -164,6 +199,19 @@ ORACLES: dict[str, str] = {
     "token_estimate_last5": _with(USAGE, WINDOW, query="select lane, seq, estimate from w"),
     "rate_limit_admission": _with(USAGE, WINDOW, query="select lane, seq, ok as admitted, case when ok then 0 else greatest(oldest + 3600000000 - ts_us, 1000000) end as wait_us from admitted"),
 }
+_SHOWN = f"{_VERDICT}, matched_text"
+ORACLES["verify_fuzzy"] = _with(*CORPUS, SHOWN, FUZZY, *_verdicts("fuzzy"), *_aligned("fuzzy"), query=f"select {_SHOWN} from ladder_fuzzy")
+_ALL = [cte for kind, found in (("exact", EXACT), ("fragmented", FRAGMENTED), ("fuzzy", FUZZY)) for cte in (found, *_verdicts(kind), *_aligned(kind))]
+ORACLES["verify_ladder"] = _with(*CORPUS, SHOWN, *_ALL, query=" union all ".join(f"select {_SHOWN} from ladder_{kind}" for kind in ("exact", "fragmented", "fuzzy")))
+ORACLES["pacing_replay"] = """with recursive
+    u as (select lane, seq, ts_us, tokens, row_number() over (partition by lane order by ts_us, seq) as k from (select event_type as lane, event_id as seq, epoch_us(ts) as ts_us, round(value * 100)::bigint as tokens from events)),
+    s as (select distinct lane, 1::bigint as k, 0::bigint as clock, []::struct(t bigint, n bigint)[] as used, []::bigint[] as recent, null::bigint as sent_us from u
+        union all
+        select lane, case when go then k + 1 else k end, case when go then asked else asked + greatest(live[1].t + 3600000000 - asked, 1000000) end,
+               case when go and tokens > 0 then list_append(live, {'t': asked, 'n': tokens}) else live end, case when go and tokens > 0 then list_append(recent, tokens)[-5:] else recent end, case when go then asked end
+        from (select *, len(live) = 0 or list_sum(list_transform(live, lambda x: x.n)) + greatest(coalesce(list_sum(recent) // nullif(len(recent), 0), 0), 1) <= 54000 as go
+              from (select s.lane, s.k, s.recent, u.tokens, greatest(s.clock, u.ts_us) as asked, list_filter(s.used, lambda x: x.t >= greatest(s.clock, u.ts_us) - 3600000000) as live from s join u on u.lane = s.lane and u.k = s.k)))
+    select u.lane, u.seq, u.ts_us, u.tokens, s.sent_us from s join u on u.lane = s.lane and u.k = s.k - 1 where s.sent_us is not null"""
 _HASHED = "h as (select doc_id, left(sha256(coalesce(source, '') || '|' || coalesce(lang, '') || '|COST|' || coalesce(text, '')), 16) as finding_hash from documents)"
 ORACLES["dedup_by_hash"] = _with(_HASHED, query="select min_by(snippet_id, run || snippet_id) as snippet_id, finding_hash from (select '0' as run, 'a_' || doc_id as snippet_id, finding_hash from h where doc_id % 4 < 2 union all select '1', 'b_' || doc_id, finding_hash from h where doc_id % 4 > 0) group by finding_hash")
 _NOISY = r"case doc_id % 4 when 0 then replace(text, ' ', chr(160)) when 1 then replace(replace(text, '''', chr(8217)), 'e ', 'e ' || chr(8212) || ' ') when 2 then replace(text, 'ne', 'n- ' || chr(10) || ' e') else replace(text, '. ', chr(8230) || chr(9) || chr(8203) || ' ') end"

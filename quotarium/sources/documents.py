@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quotarium.functions.ids import basename
 from quotarium.operators.assembly import BLOCKS
 from quotarium.operators.requests import documents, suffix
+from quotarium.storage import small_batches
 
 #: (content) -> [(page_no, block_no, text, y0, y1, page_height)], by suffix. PDF and office formats need a library of the user's.
 Extractor = Callable[[bytes], list[tuple[int, int, str, float, float, float]]]
@@ -69,5 +70,5 @@ def blocks(spark: SparkSession, folder: str, extractors: dict[str, Extractor] |
                 own.insert(0, "filename", name)
                 yield own
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    small_batches(spark)
     return rows.mapInPandas(run, BLOCKS)

@@ -1,14 +1,22 @@
-"""Folders that driver and executors share, and steps written there."""
+"""Folders that driver and executors share, steps written there, and what becomes of them."""
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of this process, by application; those of the innermost steps().
+_all: dict[str, list[str]] = {}
+_inner: ContextVar[list | None] = ContextVar("steps", default=None)
+
 
 @functools.cache
 def _own_root() -> str:
@@ -16,22 +24,84 @@ def _own_root() -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a local folder where that is unset (tests)."""
+    """spark.checkpoint.dir. Where that is unset, a local folder, but only if all executors are in this process."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return (root or f"file://{_own_root()}").rstrip("/")
 
 
+def _made(spark: SparkSession, path: str, step: DataFrame | None) -> None:
+    _all.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (own := _inner.get()) is not None:
+        own.append((path, step))
+
+
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
+    _made(spark, path, None)
+    return path
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
     """Writes a step as Parquet and reads it back: lineage ends there, and a lost executor costs one task."""
     spark = df.sparkSession
-    path = scratch(spark, what)
+    path = f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    step = spark.read.schema(df.schema).parquet(path)
+    _made(spark, path, step)
+    return step
+
+
+@contextlib.contextmanager
+def steps(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Folders made inside are deleted at its end, but for the written steps that are handed to what it yields: a result may still read those."""
+    made: list = []
+    kept: list[DataFrame] = []
+
+    def keep(step: DataFrame) -> DataFrame:
+        kept.append(step)
+        return step
+
+    outer = _inner.get()
+    token = _inner.set(made)
+    try:
+        yield keep
+    finally:
+        _inner.reset(token)
+        stay = {id(k) for k in kept}
+        if outer is not None:
+            outer.extend(x for x in made if id(x[1]) in stay)
+        discard(spark, *[path for path, step in made if id(step) not in stay])
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders of the shared storage that nothing reads any more."""
+    own = _all.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        fs, p = filesystem(spark, path)
+        fs.delete(p, True)
+        if path in own:
+            own.remove(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes every folder that this session's queries have left. Their results can't be read after that, so save or collect them first."""
+    discard(spark, *list(_all.get(spark.sparkContext.applicationId, [])))
+
+
+#: Rows and bytes that a Python worker gets at once.
+BATCH_ROWS, BATCH_BYTES = 512, 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker holds at once; a longer text is a batch of its own. Plans are lazy, so the session's limits are lowered once, to the same values by all
+    operators; limits that are lower already stay."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+        if not now or not 0 < int(now[1]) <= most:
+            spark.conf.set(key, str(most))
 
 
 def filesystem(spark: SparkSession, path: str):

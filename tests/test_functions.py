@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quotarium.functions import ids
-from quotarium.functions.alignment import partial_alignment, unfolded
+from quotarium.functions.alignment import partial_alignment, partial_alignments, unfolded
 from quotarium.functions.answers import clean_json_text, decode
 from quotarium.functions.pages import assemble
 from quotarium.functions.text import fragments, normalize, normalize_text, signature, split_fragments, strip
@@ -102,6 +102,27 @@ def test_alignment_is_the_best_of_all_windows(needle, text):
         assert (got.start, got.end) == want[1:]
 
 
+PAIRS = st.tuples(st.text("abc ", max_size=150), st.text("abcd ", max_size=200))
+
+
+@given(st.lists(PAIRS, min_size=1, max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_many_alignments_are_the_single_ones(pairs):
+    needles, texts = zip(*pairs)
+    assert partial_alignments(needles, texts) == [partial_alignment(a, b) for a, b in pairs]
+
+
+def test_alignment_of_long_needles():
+    import random
+
+    rng = random.Random(4)
+    prose = lambda n: " ".join(rng.choice(["alpha", "beta", "größe", "the", "of"]) for _ in range(n))
+    texts = [prose(300) for _ in range(8)]
+    needles = [t[40 : 40 + n] for t, n in zip(texts, (64, 65, 128, 129, 300, 511, 512, 700))]
+    needles = [n[:20] + "~" + n[21:] for n in needles]
+    assert partial_alignments(needles, texts) == [partial_alignment(a, b) for a, b in zip(needles, texts)]
+
+
 def test_alignment_edges():
     assert partial_alignment("abc", "abc") == (100.0, 0, 3)
     assert partial_alignment("long needle here", "needle") == (100.0, 0, 6)
