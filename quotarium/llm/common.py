@@ -5,23 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotarium.storage import scratch, shared_root, written
+from quotarium.storage import discard, scratch, shared_root, small_batches, steps, written
 
-__all__ = ["ascii_lower", "bounded", "discard", "held_out", "pick", "scratch", "shared_root", "small_batches", "spread", "table", "written"]
-
-
-def discard(spark: SparkSession, *paths: str) -> None:
-    """Deletes folders of the shared storage that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def small_batches(spark: SparkSession, rows: int = 512, mb: int = 4) -> None:
-    """Bounds what a Python worker holds at once, in rows and bytes; a longer text is a batch of its own."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
+__all__ = ["ascii_lower", "bounded", "discard", "held_out", "pick", "scratch", "shared_root", "small_batches", "spread", "steps", "table", "written"]
 
 
 def bounded(df: DataFrame, row_bytes: int, limit: int = 24 << 20) -> DataFrame:

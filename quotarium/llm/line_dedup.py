@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotarium.llm.common import bounded, hot_keys, small_batches, spread, written
+from quotarium.llm.common import bounded, hot_keys, small_batches, spread, steps, written
 from quotarium.llm.textnum import _DOWN, _UP, buffers, mix, spans, word_hashes
 
 RUN, GRAM = 50, 20
@@ -105,15 +105,8 @@ def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     return b"\n".join(data[a:z][keep[a:z]].tobytes() for a, z in zip(begin[~gone].tolist(), stop[~gone].tolist())).decode(), int(gone.sum())
 
 
-def passage_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, text (what is left), n_lines, n_removed_lines (those that went whole) of every row.
-
-    Deletes each word in a run of RUN words, across lines or inside one, that stands earlier in the order. Null counts as empty; an empty text has no lines. Rows of one doc_id and
-    text are one document. A null doc_id comes last in the order. Texts of any length are read whole, in blocks. An empty table gives no rows; only doc_id and text are read, so other
-    columns can't clash. A passage that very many documents share is dealt over tasks.
-    """
-    small_batches(docs.sparkSession)
-    rows = _keyed(docs)
+def repeated(rows: DataFrame) -> DataFrame:
+    """doc, digest, runs [a, z) of the words of each text that stand earlier; rows: as _keyed gives them."""
     lists = lambda cut, names, *values: pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays([pa.array(v) for v in values], names))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +172,20 @@ def passage_dedup(docs: DataFrame) -> DataFrame:
                 runs.append([{"a": int(p), "z": int(q)} for p, q in zip(a[head], z[np.r_[head[1:], len(a)] - 1])])
             yield pa.RecordBatch.from_arrays([b["doc"], b["digest"], pa.array(runs, pa.list_(pa.struct([("a", pa.int32()), ("z", pa.int32())])))], names=[*_KEY, "runs"])
 
-    cut = hits.groupBy(*_KEY).agg(F.collect_set(F.struct("place", "n")).alias("hits")).mapInArrow(merge, "doc long, digest long, runs array<struct<a: int, z: int>>")
+    return hits.groupBy(*_KEY).agg(F.collect_set(F.struct("place", "n")).alias("hits")).mapInArrow(merge, "doc long, digest long, runs array<struct<a: int, z: int>>")
+
+
+def passage_dedup(docs: DataFrame) -> DataFrame:
+    """doc_id, text (what is left), n_lines, n_removed_lines (those that went whole) of every row.
+
+    Deletes each word in a run of RUN words, across lines or inside one, that stands earlier in the order. Null counts as empty; an empty text has no lines. Rows of one doc_id and
+    text are one document. A null doc_id comes last in the order. Texts of any length are read whole, in blocks. An empty table gives no rows; only doc_id and text are read, so other
+    columns can't clash. A passage that very many documents share is dealt over tasks.
+    """
+    small_batches(docs.sparkSession)
+    rows = _keyed(docs)
+    with steps(docs.sparkSession) as keep:
+        cuts = keep(written(repeated(rows), "cuts"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,7 +195,7 @@ def passage_dedup(docs: DataFrame) -> DataFrame:
                 text.append(left), n.append(t.count("\n") + 1 if t else 0), gone.append(k)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(text, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["doc_id", "text", "n_lines", "n_removed_lines"])
 
-    return rows.join(_small(written(cut, "cuts"), "runs"), _KEY, "left").select("doc_id", "text", "runs").mapInArrow(remove, "doc_id long, text string, n_lines long, n_removed_lines long")
+    return rows.join(_small(cuts, "runs"), _KEY, "left").select("doc_id", "text", "runs").mapInArrow(remove, "doc_id long, text string, n_lines long, n_removed_lines long")
 
 
 def _small(df: DataFrame, items: str, limit: int = 24 << 20) -> DataFrame:

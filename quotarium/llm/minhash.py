@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotarium.llm.common import bounded, hot_keys, small_batches, spread, written
+from quotarium.llm.common import bounded, hot_keys, small_batches, spread, steps, written
 from quotarium.llm.textnum import mix, shingle_sets
 
 BANDS, ROWS = 25, 5
@@ -67,7 +67,7 @@ def _text(docs: DataFrame) -> DataFrame:
 
 def signatures(docs: DataFrame, words: int, lower: bool) -> DataFrame:
     """doc_id, n_shingles, set_digest (null for an empty set), bands."""
-    small_batches(docs.sparkSession, mb=2)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -258,16 +258,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, lower: b
     """
     sig = written(signatures(docs, words, lower), "signatures")
     full, empty = sig.filter("set_digest is not null"), sig.filter("set_digest is null")
-    classes = written(full.groupBy("set_digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")).filter("id is not null"), "classes")
-    rep = sig.join(classes, (sig["doc_id"] == classes["id"]) & (sig["set_digest"] == classes["set_digest"])).select("id", F.explode(F.array_distinct("bands")).alias("key")).distinct()
-    rep = written(rep, "banded")
-    shared = written(rep.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "shared")
-    large = hot_keys(shared, ["key"], rep.count(), F.col("m"))
-    members = written(spread(rep, shared, ["key"], ["id"], large), "members")
-    label = components(candidate_links(members, docs, words, percent, lower, classes.count(), large))
-    named = classes.join(label.select("id", "component"), "id", "left").select("set_digest", F.coalesce("component", "id").alias("component"))
-    often = hot_keys(classes, ["set_digest"], sig.count(), F.col("copies"))
-    out = spread(full.select("doc_id", "n_shingles", "set_digest"), named, ["set_digest"], ["doc_id"], often, "left").select("doc_id", "n_shingles", "component")
+    with steps(docs.sparkSession) as keep:
+        classes = written(full.groupBy("set_digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")).filter("id is not null"), "classes")
+        rep = sig.join(classes, (sig["doc_id"] == classes["id"]) & (sig["set_digest"] == classes["set_digest"])).select("id", F.explode(F.array_distinct("bands")).alias("key")).distinct()
+        rep = written(rep, "banded")
+        shared = written(rep.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "shared")
+        large = hot_keys(shared, ["key"], rep.count(), F.col("m"))
+        members = written(spread(rep, shared, ["key"], ["id"], large), "members")
+        label = components(candidate_links(members, docs, words, percent, lower, classes.count(), large))
+        named = keep(written(classes.join(label, "id", "left").select("set_digest", "copies", F.coalesce("component", "id").alias("component")), "named"))
+    often = hot_keys(named, ["set_digest"], sig.count(), F.col("copies"))
+    out = spread(full.select("doc_id", "n_shingles", "set_digest"), named.drop("copies"), ["set_digest"], ["doc_id"], often, "left").select("doc_id", "n_shingles", "component")
     out = out.unionByName(empty.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component")))
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotarium.llm.common import bounded, written
+from quotarium.llm.common import HOT_KEYS, HOT_ROWS, bounded, spread, steps, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: measure: slack in thousandths, and whether a low value counts too
@@ -92,7 +92,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept for every row.
 
     base_failed: fewer than 50 words, or more than half of them repeated. kept: base not failed and every measure within its group's fences. A null language or source
-    is a group of its own. Null and empty texts fail the base. Repeated rows count each; an empty table gives no rows.
+    is a group of its own; groups of fewer than LEAST_GROUP rows are judged by their language's sketch, and such languages by that of all rows. Null and empty texts fail the base. Repeated
+    rows count each, texts of any length whole; an empty table gives no rows. Only doc_id, text, lang and source are read, so other columns can't clash.
     """
     base = written(measured(docs), "measured")
     base = base.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
@@ -100,12 +101,20 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     base = base.withColumns({"lang_key": key("lang"), "source_key": key("source")})
     per = lambda c, d: F.expr(f"{c} * 1000 div {d}")
     rows = base.withColumns({"word_length": per("word_chars", "nullif(n_words, 0)"), "symbols": per("n_symbols", "nullif(n_words, 0)"), "dup_lines": per("n_dup_lines", "nullif(n_lines, 0)"), "repeats": per("n_repeat_words", "nullif(n_words, 0)"), "capitals": per("n_capitals", "nullif(n_words, 0)")})
-    limits = written(fences(sketches(rows.filter(~F.col("base_failed")))), "fences")
-    names = [c for c in limits.columns if c[:3] in ("hi_", "lo_")]
-    level = lambda k: limits.filter(F.col("level") == k).select("lang_key", "source_key", "rows", F.struct(*names).alias(f"at{k}")).withColumnRenamed("rows", f"rows{k}")
-    one = level(2).join(bounded(level(1).drop("source_key"), 300), "lang_key", "left").join(F.broadcast(level(0).drop("lang_key", "source_key")), F.lit(True), "left")
-    one = one.select("lang_key", "source_key", F.when(F.col("rows2") >= LEAST_GROUP, F.col("at2")).when(F.col("rows1") >= LEAST_GROUP, F.col("at1")).otherwise(F.col("at0")).alias("at"))
-    out = rows.join(bounded(written(one, "limits"), 300), ["lang_key", "source_key"], "left")
+    with steps(docs.sparkSession) as keep:
+        limits = written(fences(sketches(rows.filter(~F.col("base_failed")))), "fences")
+        names = [c for c in limits.columns if c[:3] in ("hi_", "lo_")]
+        level = lambda k: limits.filter(F.col("level") == k).select("lang_key", "source_key", "rows", F.struct(*names).alias(f"at{k}")).withColumnRenamed("rows", f"rows{k}")
+        one = level(2).join(bounded(level(1).drop("source_key"), 300), "lang_key", "left").join(F.broadcast(level(0).drop("lang_key", "source_key")), F.lit(True), "left")
+        one = one.select("lang_key", "source_key", "rows2", F.when(F.col("rows2") >= LEAST_GROUP, F.col("at2")).when(F.col("rows1") >= LEAST_GROUP, F.col("at1")).otherwise(F.col("at0")).alias("at"))
+        one = keep(written(one, "limits"))
+    keys, groups = ["lang_key", "source_key"], one.drop("rows2")
+    if one.count() * 300 <= 24 << 20:
+        out = rows.join(F.broadcast(groups), keys, "left")
+    else:  # rows of large groups are dealt over tasks
+        per = max(HOT_ROWS, (one.agg(F.sum("rows2")).first()[0] or 0) // HOT_KEYS)
+        hot = F.broadcast(one.filter(F.col("rows2") > per).select(*keys, F.ceil(F.col("rows2") / per).cast("int").alias("shares")))
+        out = spread(rows, groups, keys, ["doc_id"], hot, "left")
     within = F.lit(True)
     for m, (_, low) in MEASURES.items():
         within = within & (F.col(m) <= F.col(f"at.hi_{m}"))

@@ -1,6 +1,7 @@
 """Each stage of the pipeline against what it is to do with its own input, and the whole run."""
 
 import corpus_pipeline as cp
+import pyarrow as pa
 import pytest
 from llm_brute import exact as exact_brute
 from llm_brute import near as near_brute
@@ -87,3 +88,40 @@ def test_no_rows(spark, sf_dir, none):
     for name, f in cp.STAGES:
         df = f(spark, df, sf_dir)
         assert df.count() == 0, name
+
+
+def kept_rows(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()), key=repr)
+
+
+def test_odd_rows_through_every_stage(spark, sf_dir, docs, labels, odd):
+    """Nulls, empty and very long texts, repeated rows and ids, and clashing columns, against what each stage says it does with them."""
+    whole = kept_rows(odd)
+    lang = language_id.train(docs)
+    scores = [(t, *x) for (_, t), x in zip(whole, zip(*language_id.label(lang, pa.array([t for _, t in whole], pa.string()))))]
+    got = cp.language_id.recognised(odd, lang, cp.LEAST_LANGUAGE)
+    assert got.columns == odd.columns and kept_rows(got) == [r for r, (_, x, s) in zip(whole, scores) if x != "und" and s >= cp.LEAST_LANGUAGE]
+    quality = quality_crf.train(docs, labels)
+    marks = quality_crf.score(quality, *quality_crf.line_levels(pa.array([t for _, t in whole], pa.string())))
+    got = quality_crf.good(odd, quality)
+    assert got.columns == odd.columns and kept_rows(got) == [r for r, s in zip(whole, marks) if s >= quality_crf.THRESHOLD]
+    got = cp.without_copies(spark, odd, sf_dir)
+    alive = exact_brute(whole)
+    assert got.columns == odd.columns and sorted(r["doc_id"] is None or r["doc_id"] for r in got.collect()) == sorted(r[0] is None or r[0] for r in alive if r[3])
+    # rows of one id and text can't be told apart, so any of them may stay
+    got = cp.without_near_copies(spark, odd, sf_dir)
+    order = sorted(odd.select("doc_id", "text").collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] or ""))
+    judged = near_brute([(i, r["text"]) for i, r in enumerate(order)], 5, 80)
+    assert got.columns == odd.columns and got.count() == sum(i == c for i, _, c in judged)
+    assert {r["doc_id"] for r in got.collect()} >= {0, 1, 2, 3, 4, 12, 17}
+    got = cp.packed(spark, odd, sf_dir)
+    assert {r["doc_id"] for r in got.select("doc_id").collect()} == {i for i, _ in whole}
+
+
+def test_run_leaves_only_its_result(spark, sf_dir):
+    from quotarium import storage
+
+    storage.release(spark)
+    rows = cp.run(spark, sf_dir).count()
+    left = storage._all[spark.sparkContext.applicationId]
+    assert rows and len(left) == 1 and "stage-packing" in left[0]
