@@ -54,6 +54,11 @@ def _folded(col: pa.Array) -> pa.Array:
     return pa.array([None if t is None else normalize_text(t, True) for t in col.to_pylist()], pa.string())
 
 
+@F.arrow_udf(T.StringType())
+def _casefolded(col: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else t.casefold() for t in col.to_pylist()], pa.string())
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _fragments(col: pa.Array) -> pa.Array:
     return pa.array([None if t is None or len(p := split_fragments(t)) < 2 else [normalize_text(x, True) for x in p] for t in col.to_pylist()], pa.list_(pa.string()))
@@ -75,6 +80,11 @@ def normalize(text: Column, fold: bool = False) -> Column:
     return F.when(is_ascii(text), F.lower(own) if fold else own).otherwise(rest)
 
 
+def casefold(text: Column) -> Column:
+    """A normal form, case-folded: normalize(x, fold=True) of what normalize(x) gives."""
+    return F.when(is_ascii(text), F.lower(text)).otherwise(_casefolded(F.when(~is_ascii(text), text)))
+
+
 def fragments(snippet: Column) -> Column:
     """Normalised pieces of a snippet with elisions; null if there are fewer than two."""
     return _fragments(F.when(snippet.rlike(r"\.\s*\.\s*\."), snippet))

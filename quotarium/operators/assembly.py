@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotarium.functions.pages import assemble_lines
-from quotarium.functions.text import normalize, signature, strip
+from quotarium.functions.text import casefold, normalize, signature, strip
 from quotarium.settings import Settings
 
 BLOCKS = "filename string, page_no int, block_no int, text string, y0 double, y1 double, page_height double"
@@ -48,7 +48,8 @@ def page_texts(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
     rows = kept.unionByName(blocks.select("filename", "page_no", F.lit(None).cast("int").alias("block_no"), F.lit(None).cast("string").alias("text")).distinct())
     ordered = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("block_no", "text"))))
     raw = rows.groupBy("filename", "page_no").agg(F.array_join(F.transform(ordered, lambda b: b["text"]), " ").alias("raw"))
-    return raw.select("filename", "page_no", normalize(F.col("raw")).alias("display"), normalize(F.col("raw"), fold=True).alias("cf"))
+    shown = raw.select("filename", "page_no", normalize(F.col("raw")).alias("display"))
+    return shown.withColumn("cf", casefold(F.col("display")))
 
 
 def doc_texts(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -120,21 +120,48 @@ def verify(findings: DataFrame, docs: DataFrame, settings: Settings = Settings()
     return first.select(*names, final.alias("verification_status"), total.alias("match_score"), method.alias("match_method"), page_at(F.col("page_offsets"), place).alias("page_number"), F.coalesce(shown, F.lit("")).alias("matched_text"))
 
 
+#: Letters by which passages of one or two words are sought.
+GRAM = 4
+#: Bytes of sought hashes that may be sent to every task.
+SOUGHT_BYTES = 64 << 20
+
+
+def _runs(items: Column, n: int, of) -> Column:
+    """Hashes of all runs of n items; none where there are fewer."""
+    return F.when(F.size(items) >= n, F.transform(F.sequence(F.lit(0), F.size(items) - n), lambda i: of(items, i, n))).otherwise(F.array().cast("array<long>"))
+
+
 def located(passages: DataFrame, docs: DataFrame, words: int = 5) -> DataFrame:
     """key, filename, place of each passage (key, text) in each document that holds it, wherever words are cut: containment as an equi join.
 
     A document that holds a passage holds its inner words one after another, so documents' runs of words meet the passages' first inner run by
-    hash, and only such pairs are compared. Passages of two words or less have no inner words and are compared with every document.
+    hash, and only such pairs are compared. Passages of two words or less have no inner words; the letters they begin with are sought among the documents' runs of letters.
+    Texts are put together and written once, and taken apart once for all lengths of runs that occur.
     """
     own = passages.select("key", normalize(F.col("text"), fold=True).alias("needle")).filter("needle <> ''")
-    own = own.withColumn("inner", F.expr("slice(split(needle, ' '), 2, greatest(size(split(needle, ' ')) - 2, 0))"))
-    own = written(own.withColumn("k", F.least(F.size("inner"), F.lit(words))), "passages")
-    texts = docs.select("filename", "full_cf").withColumn("w", F.filter(F.split("full_cf", " "), lambda x: x != ""))
-    run = lambda w, i, k: F.xxhash64(F.lit(k), *[F.get(w, i + j) for j in range(k)])
-    pairs = own.filter("k = 0").select("key", "needle").crossJoin(docs.select("filename", "full_cf")).select("key", "needle", "filename", F.instr("full_cf", F.col("needle")).alias("at")).filter("at > 0")
-    for k in sorted(r["k"] for r in own.filter("k > 0").select("k").distinct().collect()):  # `words` values at most
-        runs = texts.filter(F.size("w") >= k).select("filename", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - k), lambda i: run(F.col("w"), i, k)))).alias("run"))
-        sought = own.filter(F.col("k") == k).select("key", "needle", run(F.col("inner"), F.lit(0), k).alias("run"))
-        near = runs.join(sought, "run").select("filename", "key", "needle")
-        pairs = pairs.unionByName(near.join(docs.select("filename", "full_cf"), "filename").select("key", "needle", "filename", F.instr("full_cf", F.col("needle")).alias("at")).filter("at > 0"))
-    return pairs.select("key", "filename", (F.col("at") - 1).cast("long").alias("place"))
+    own = own.withColumn("inner", F.expr("slice(split(needle, ' '), 2, greatest(size(split(needle, ' ')) - 2, 0))")).withColumn("k", F.least(F.size("inner"), F.lit(words)))
+    hashed = lambda kind, k, parts: F.xxhash64(F.lit(kind), F.lit(k), *parts)
+    by_words = lambda w, i, k: hashed("words", k, [F.get(w, i + j) for j in range(k)])
+    by_letters = lambda c, i, k: hashed("letters", k, [F.get(c, i + j) for j in range(k)])
+    letters = F.least(F.length("needle"), F.lit(GRAM))
+    run = F.when(F.col("k") > 0, F.col("k")).otherwise(-letters)
+    own = written(own.withColumn("kind", run), "passages")
+    kinds = sorted(r["kind"] for r in own.select("kind").distinct().collect())  # `words` + GRAM values at most
+    if not kinds:
+        return own.select("key", F.lit("").alias("filename"), F.lit(0).cast("long").alias("place"))
+    texts = written(docs.select("filename", "full_cf"), "texts")
+    split = texts.withColumn("w", F.filter(F.split("full_cf", " "), lambda x: x != ""))
+    if kinds[0] < 0:
+        split = split.withColumn("c", F.split("full_cf", ""))
+    every, sought = [], None
+    for k in kinds:
+        n, items, of = (-k, "c", by_letters) if k < 0 else (k, "w", by_words)
+        every.append(_runs(F.col(items), n, of))
+        mine = own.filter(F.col("kind") == k).select("key", "needle", of(F.split("needle", "") if k < 0 else F.col("inner"), F.lit(0), n).alias("run"))
+        sought = mine if sought is None else sought.unionByName(mine)
+    sought = written(sought, "sought")
+    few = sought.count() * 64 + (sought.agg(F.sum(F.octet_length("needle"))).first()[0] or 0) <= SOUGHT_BYTES
+    runs = split.select("filename", F.explode(F.array_distinct(F.flatten(F.array(*every)))).alias("run"))
+    pairs = runs.join(F.broadcast(sought.select("run", "key")) if few else sought.select("run", "key"), "run").select("filename", "key").distinct()
+    met = pairs.join(F.broadcast(sought.select("key", "needle")) if few else sought.select("key", "needle"), "key").join(texts, "filename")
+    return met.select("key", "filename", F.instr("full_cf", F.col("needle")).alias("at")).filter("at > 0").select("key", "filename", (F.col("at") - 1).cast("long").alias("place"))

@@ -6,7 +6,7 @@ from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotarium.settings import Settings
@@ -20,6 +20,13 @@ class TokenPacer:
         self.used: deque[tuple[int, int]] = deque()
         self.total, self.recent = 0, deque(maxlen=history)
 
+    def resume(self, used: list[tuple[int, int]], sizes: list[int]) -> None:
+        """Takes over what was used before, in order of time, and the sizes of those requests."""
+        for at, tokens in used:
+            self.used.append((at, tokens))
+            self.total += tokens
+        self.recent.extend(n for n in sizes if n > 0)
+
     def estimate(self) -> int:
         return max(int(sum(self.recent) / len(self.recent)) if self.recent else 0, 1)
 
@@ -42,21 +49,38 @@ def window_usage(usage: DataFrame, settings: Settings = Settings()) -> DataFrame
     """usage (lane, seq, ts_us, tokens) with used (tokens of earlier requests in the trailing window), oldest_us, estimate (mean of the last few sizes), admitted and wait_us.
 
     A request exactly as old as the window still counts. Each lane, such as one worker's share of the quota, is a window of its own.
+
+    A lane is cut into spans as long as the window, which tasks take one by one: a row also goes to the span behind its own, where it counts as the past. The last
+    sizes before a span are handed on from the few rows that each span has at its end.
     """
-    log = usage.filter("tokens > 0")
-    lane = Window.partitionBy("lane").orderBy("ts_us")
-    trailing = lane.rangeBetween(-settings.window_seconds * 1_000_000, Window.currentRow)
-    order = Window.partitionBy("lane").orderBy("ts_us", "seq")
-    last = order.rowsBetween(-settings.history, -1)
+    window = settings.window_seconds * 1_000_000
+    log = usage.filter("tokens > 0").withColumn("span", F.floor(F.col("ts_us") / window))
+    both = log.withColumn("at", F.explode(F.array("span", F.col("span") + 1)))
+    trailing = Window.partitionBy("lane", "at").orderBy("ts_us").rangeBetween(-window, Window.currentRow)
     # peers with the same time that come later in order, and the row itself, are taken off again
-    peers = Window.partitionBy("lane", "ts_us").orderBy(F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = log.withColumns({"used": F.sum("tokens").over(trailing) - F.sum("tokens").over(peers), "n_in": F.count("*").over(trailing) - F.count("*").over(peers), "oldest_us": F.min("ts_us").over(trailing)})
-    rows = rows.withColumn("estimate", F.greatest(F.coalesce(F.avg("tokens").over(last).cast("long"), F.lit(0)), F.lit(1)))
+    peers = Window.partitionBy("lane", "at", "ts_us").orderBy(F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = both.withColumns({"used": F.sum("tokens").over(trailing) - F.sum("tokens").over(peers), "n_in": F.count("*").over(trailing) - F.count("*").over(peers), "oldest_us": F.min("ts_us").over(trailing)})
+    rows = rows.filter("at = span").drop("at").join(_sizes_before(log, settings.history), ["lane", "span"])
+    inside = Window.partitionBy("lane", "span").orderBy("ts_us", "seq").rowsBetween(-settings.history, -1)
+    last = _last(F.concat("sizes", F.collect_list("tokens").over(inside)), settings.history)
+    rows = rows.withColumn("last", last).withColumn("estimate", F.greatest(F.when(F.size("last") > 0, F.expr("aggregate(last, 0L, (a, x) -> a + x) div size(last)")).otherwise(F.lit(0)), F.lit(1)).cast("long"))
     admitted = (F.col("n_in") == 0) | (F.col("used") + F.col("estimate") <= settings.token_budget)
-    wait = F.greatest(F.col("oldest_us") + settings.window_seconds * 1_000_000 - F.col("ts_us"), F.lit(1_000_000))
+    wait = F.greatest(F.col("oldest_us") + window - F.col("ts_us"), F.lit(1_000_000))
     return rows.select("lane", "seq", "ts_us", "tokens", "used", F.when(F.col("n_in") > 0, F.col("oldest_us")).alias("oldest_us"), "estimate", admitted.alias("admitted"), F.when(admitted, F.lit(0)).otherwise(wait).cast("long").alias("wait_us"))
 
 
+def _last(items: Column, n: int) -> Column:
+    return F.slice(items, F.greatest(F.size(items) - n + 1, F.lit(1)), n)
+
+
+def _sizes_before(log: DataFrame, history: int) -> DataFrame:
+    """lane, span, sizes: the last few sizes before each span that has rows. Only a few rows of each span are gathered; a lane has one row for each span then."""
+    back = F.row_number().over(Window.partitionBy("lane", "span").orderBy(F.col("ts_us").desc(), F.col("seq").desc()))
+    tails = log.withColumn("back", back).filter(F.col("back") <= history).groupBy("lane", "span").agg(F.transform(F.array_sort(F.collect_list(F.struct(-F.col("back"), F.col("tokens").cast("long").alias("n")))), lambda x: x["n"]).alias("tail"))
+    before = Window.partitionBy("lane").orderBy("span").rowsBetween(-history, -1)
+    return tails.select("lane", "span", _last(F.flatten(F.collect_list("tail").over(before)), history).alias("sizes"))
+
+
 def replay(usage: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """lane, seq, ts_us, tokens and sent_us: when each request goes if each waits for the quota and for the one before.
 

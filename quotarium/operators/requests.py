@@ -21,17 +21,27 @@ def suffix(path: Column) -> Column:
 def documents(paths: DataFrame, limit: int | None = None) -> DataFrame:
     """path, filename, idx (from 1, by path) of the files that are documents, the first `limit` of them."""
     found = paths.filter(suffix(F.col("path")).isin(*NATIVE_SUFFIXES, *OFFICE_SUFFIXES)).select("path", ids.basename(F.col("path")).alias("filename"))
-    if limit is not None:
-        found = found.orderBy("path").limit(limit)
-    return found.withColumn("idx", F.row_number().over(Window.orderBy("path")).cast("long"))
+    if limit is not None and limit <= LEAST_DEALT:  # that many rows are one task's work
+        return found.orderBy("path").limit(limit).withColumn("idx", F.row_number().over(Window.orderBy("path")).cast("long"))
+    dealt = _dealt(found, "path", 64)
+    return dealt if limit is None else dealt.filter(F.col("idx") <= limit)
 
 
-def numbered(files: DataFrame, partitions: int = 64) -> DataFrame:
-    """filename, file_id, idx: numbers from 1 by filename. Rows are dealt by ranges of names and numbered inside them, so no task gets all."""
-    dealt = written(files.repartitionByRange(partitions, "filename").withColumn("part", F.spark_partition_id()), "numbered")
+#: Up to so many rows are numbered by one task.
+LEAST_DEALT = 100_000
+
+
+def _dealt(rows: DataFrame, key: str, partitions: int) -> DataFrame:
+    """The rows with idx, their number from 1 by the key. Rows are dealt by ranges of keys and numbered inside them, so no task gets all."""
+    dealt = written(rows.repartitionByRange(partitions, key).withColumn("part", F.spark_partition_id()), "numbered")
     before = dealt.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
-    own = F.row_number().over(Window.partitionBy("part").orderBy("filename"))
-    return dealt.join(F.broadcast(before), "part").select("filename", "file_id", (own + F.col("before")).cast("long").alias("idx"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy(key))
+    return dealt.join(F.broadcast(before), "part").select(*rows.columns, (own + F.col("before")).cast("long").alias("idx"))  # a row for each of the partitions
+
+
+def numbered(files: DataFrame, partitions: int = 64) -> DataFrame:
+    """filename, file_id, idx: numbers from 1 by filename."""
+    return _dealt(files.select("filename", "file_id"), "filename", partitions)
 
 
 def request_matrix(files: DataFrame, prompts: DataFrame) -> DataFrame:

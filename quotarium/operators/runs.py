@@ -13,20 +13,24 @@ from quotarium.storage import read_text, write_bytes
 
 @dataclass
 class RunState:
+    #: Files of a state that another tool wrote; ours are a table, whose path is in files.
     file_rows: list[dict] = field(default_factory=list)
     batches: dict[str, str] = field(default_factory=dict)
+    files: str | None = None
+    run_key: str | None = None
 
     def to_json(self) -> str:
-        return json.dumps({"file_rows": self.file_rows, "batches": [{"category": c, "batch_id": b} for c, b in self.batches.items()]}, ensure_ascii=False, indent=2)
+        more = {k: v for k, v in (("files", self.files), ("run_key", self.run_key)) if v}
+        return json.dumps({"file_rows": self.file_rows, "batches": [{"category": c, "batch_id": b} for c, b in self.batches.items()], **more}, ensure_ascii=False, indent=2)
 
     @classmethod
     def from_json(cls, text: str) -> RunState:
         d = json.loads(text)
         files = [{"filename": r["filename"], "file_id": r["file_id"]} for r in d.get("file_rows", [])]
-        return cls(files, {b["category"]: b["batch_id"] for b in d.get("batches", [])})  # the last of equal categories counts
+        return cls(files, {b["category"]: b["batch_id"] for b in d.get("batches", [])}, d.get("files"), d.get("run_key"))  # the last of equal categories counts
 
     def merged(self, newer: RunState) -> RunState:
-        return RunState(newer.file_rows or self.file_rows, self.batches | newer.batches)
+        return RunState(newer.file_rows or self.file_rows, self.batches | newer.batches, newer.files or self.files, newer.run_key or self.run_key)
 
 
 def save(spark: SparkSession, path: str, state: RunState) -> RunState:

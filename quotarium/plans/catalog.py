@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quotarium.functions import ids
 from quotarium.functions.answers import clean_json_text
-from quotarium.functions.text import normalize
+from quotarium.functions.text import FOLDED, normalize
 from quotarium.operators import assembly, audit, framework, ladder, pacing, prompts, requests, responses, runs
 from quotarium.plans import derived as d
 from quotarium.plans.twins import ORACLES
@@ -50,6 +50,17 @@ def analysis_prompts(spark, sf_dir):
     return prompts.analysis_prompts(d.labels(spark))
 
 
+@query
+def summary_prompts(spark, sf_dir):
+    return prompts.summary_prompts(d.labels(spark))
+
+
+@query
+def batch_bodies(spark, sf_dir):
+    asked = prompts.analysis_prompts(d.labels(spark))
+    return requests.batch_bodies(requests.request_matrix(d.files(spark, sf_dir), asked), "some-model", 8192)
+
+
 @query
 def request_matrix(spark, sf_dir):
     asked = prompts.analysis_prompts(d.labels(spark))
@@ -106,7 +117,7 @@ def parse_findings(spark, sf_dir):
 @query
 def parse_errors(spark, sf_dir):
     bad = responses.errors(_answers(spark, sf_dir), d.RUN_TS)
-    return bad.select("filename", "label_category", "error_type", F.col("finding_ord.response_ord").alias("response_ord"), F.col("finding_ord.pos").cast("long").alias("pos"))
+    return bad.select("filename", "label_category", "error_type", "error_message", "raw_text", F.col("finding_ord.response_ord").alias("response_ord"), F.col("finding_ord.pos").cast("long").alias("pos"))
 
 
 @query
@@ -145,8 +156,15 @@ def dedup_by_hash(spark, sf_dir):
 
 @query
 def normalize_text(spark, sf_dir):
-    k = F.col("doc_id") % 4
-    noisy = F.when(k == 0, F.replace("text", F.lit(" "), F.lit("\u00a0"))).when(k == 1, F.replace(F.replace("text", F.lit("'"), F.lit("\u2019")), F.lit("e "), F.lit("e \u2014 "))).when(k == 2, F.replace("text", F.lit("ne"), F.lit("n- \n e"))).otherwise(F.replace("text", F.lit(". "), F.lit("\u2026\t\u200b ")))
+    k = F.col("doc_id") % 6
+    swap = lambda of, to, text="text": F.replace(text, F.lit(of), F.lit(to))
+    kinds = [
+        swap(" ", "\u00a0"), swap("e ", "e \u2014 ", swap("'", "\u2019")), swap("ne", "n- \n e"), swap(". ", "\u2026\t\u200b "),
+        # what only the compatibility form folds: a ligature, wide digits, an accent of its own
+        swap("\u00e9", "e\u0301", F.translate(swap("fi", "\ufb01"), "0123456789", "".join(chr(0xFF10 + i) for i in range(10)))),
+        F.concat(F.lit("x" + "".join(FOLDED.values()) + "x "), "text"),
+    ]
+    noisy = F.coalesce(*[F.when(k == i, text) for i, text in enumerate(kinds)])
     own = d.table(spark, sf_dir, "documents").select("doc_id", noisy.alias("noisy"))
     return own.select("doc_id", normalize(F.col("noisy")).alias("display"), normalize(F.col("noisy"), fold=True).alias("cf"))
 

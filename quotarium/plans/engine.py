@@ -57,15 +57,23 @@ def deliver(found: DataFrame, bad: DataFrame, doc_texts: DataFrame, out: str | N
 def run(spark: SparkSession, labels: DataFrame, folder: str, provider: Provider, out: str, settings: Settings = Settings(), resume: bool = False, run_ts: str | None = None, kind: str = "parquet", blocks: DataFrame | None = None) -> Outcome:
     """labels: a validated framework. blocks: text blocks of the documents, if not to be extracted from the folder.
 
-    The state is saved after each submission. With resume, files and batches of the stored state are used, and only categories without a batch are submitted.
+    The state is saved before the first and after each submission. With resume, the run's key, files and batches of the stored state are used, and only categories without a batch are
+    submitted; of those the provider skips what has landed.
     """
     state_path = f"{out}/run_state.json"
     stored = (runs.load(spark, state_path) if resume else None) or runs.RunState()
-    if stored.file_rows:
+    stored.run_key = provider.run_key = stored.run_key or provider.run_key
+    if stored.files:
+        files = spark.read.parquet(stored.files)
+    elif stored.file_rows:
         rows = [(r["filename"], r["file_id"], i) for i, r in enumerate(stored.file_rows, 1)]
         files = spark.createDataFrame(rows, "filename string, file_id string, idx long")
     else:
-        files = written(provider.upload(documents.discover(spark, folder, settings.max_documents)), "files")
+        path = f"{out}/run_files_{stored.run_key}"
+        if not settings.dry_run:
+            _replace(spark, state_path, stored)  # so that a crash while files go up can be resumed, too
+        provider.upload(documents.discover(spark, folder, settings.max_documents)).write.mode("overwrite").parquet(path)
+        files, stored.files = spark.read.parquet(path), path
         tables.save_file_mapping(files, f"{out}/file_mapping.{kind}")
     cost = requests.cost_estimate(files, labels, settings.provider, settings.model)
     asked = prompts.analysis_prompts(labels, settings.include_confidence)
@@ -74,12 +82,10 @@ def run(spark: SparkSession, labels: DataFrame, folder: str, provider: Provider,
     pending = [r["category"] for r in asked.orderBy("cat_ord").collect() if r["category"] not in stored.batches]  # one row a category
     if settings.dry_run:
         return Outcome(requests=matrix, cost=cost)
-    if not resume:
-        stored = runs.RunState([r.asDict() for r in files.orderBy("idx").select("filename", "file_id").collect()], {})
+    _replace(spark, state_path, stored)
     for category in pending:
-        batch = provider.submit(category, matrix.filter(F.col("category") == category))
-        stored.batches[category] = batch
-        stored = runs.save(spark, state_path, stored) if resume else _replace(spark, state_path, stored)
+        stored.batches[category] = provider.submit(category, matrix.filter(F.col("category") == category))
+        stored = runs.save(spark, state_path, stored)
     paths = {c: provider.fetch(c, provider.poll(b)) for c, b in stored.batches.items()}
     found, bad = parse(landed(spark, paths), files, labels, run_ts)
     from quotarium.operators.assembly import from_blocks

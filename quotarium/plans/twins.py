@@ -130,7 +130,14 @@ ITEMS = """elements as (select category, response_ord, filename, pos - 1 as pos,
     fields as (select *, json_type(item) as kind, trim(coalesce(item->>'label_code', 'None')) as label_code, regexp_replace(coalesce(item->>'snippet', 'None'), '^[\\s\\x0b\\x1c-\\x1f\\x85\\p{Z}]+|[\\s\\x0b\\x1c-\\x1f\\x85\\p{Z}]+$', '', 'g') as snippet, trim(item->>'reasoning') as reasoning, lower(trim(item->>'confidence')) as confidence from elements),
     judged as (select f.*, case when kind <> 'OBJECT' then 'invalid_finding_item' when label_code = '' or snippet = '' then 'missing_fields' when (category, label_code) not in (select (category, code) from fw) then 'hallucinated_code' end as error_type from fields f)"""
 PARSED = (RAW, FW, DOCS, FILES, RESPONSES, NAMED, CLEANED, KINDS, ITEMS)
+ITEMS_SAID = f"""said as (select *, case error_type when 'invalid_finding_item' then 'Finding #' || pos || ' is not a dict: ' || case kind when 'VARCHAR' then 'str' else 'int' end
+    when 'missing_fields' then 'Finding #' || pos || ' missing label_code or snippet.'
+    when 'hallucinated_code' then 'Finding #' || pos || ': label_code ''' || label_code || ''' is not in category ''' || category || '''. Valid: [' || (select string_agg('''' || code || '''', ', ' order by code) from (select distinct code, category as c from fw) where c = judged.category) || ']' end as error_message,
+    case when error_type in ('missing_fields', 'hallucinated_code') then left('{{"label_code": ' || (item->'label_code')::varchar || ', "snippet": ' || (item->'snippet')::varchar || ', "reasoning": ' || (item->'reasoning')::varchar || ', "confidence": ' || (item->'confidence')::varchar || '}}', 500) else '' end as raw_text from judged)"""
+_TAIL = len("as you asked")
+_WHOLE = f"case whole when 'api_error' then error_message when 'no_text' then 'LLM returned no text content blocks.' when 'json_parse_failed' then 'Extra data: line 1 column ' || (length(j) - {_TAIL} + 1) || ' (char ' || (length(j) - {_TAIL}) || ')' else case when j = '[]' then 'answer is not an object: list' else '''findings'' field is not a list: str' end end"
 ERRORS = "errs as (select filename, category as label_category, whole as error_type, response_ord, -1::bigint as pos from kinds where whole is not null union all select filename, category, error_type, response_ord, pos from judged where error_type is not null)"
+SAID = (ITEMS_SAID, f"told as (select filename, category as label_category, whole as error_type, {_WHOLE} as error_message, case when whole in ('json_parse_failed', 'invalid_structure') then left(text, 2000) else '' end as raw_text, response_ord, -1::bigint as pos from kinds where whole is not null union all select filename, category, error_type, error_message, raw_text, response_ord, pos from said where error_type is not null)")
 STEM = r"regexp_replace(filename, '\.[^.]+$', '')"
 
 
@@ -172,7 +179,7 @@ ORACLES: dict[str, str] = {
     "clean_json": _with(DOCS, FILES, RESPONSES, NAMED, CLEANED, query="select response_ord, j as cleaned from cleaned where success"),
     "parse_findings": _with(*PARSED, query=f"""select {_safe(STEM, 40)} || '__' || {_safe('category', 30)} || '__' || printf('%04d', row_number() over (partition by category, response_ord order by pos)) as snippet_id, filename, category as label_category, label_code, snippet, reasoning, confidence,
         '{RUN_TS}' as timestamp, left(sha256(filename || '|' || category || '|' || label_code || '|' || snippet), 16) as finding_hash, response_ord from judged where error_type is null"""),
-    "parse_errors": _with(*PARSED, ERRORS, query="select * from errs"),
+    "parse_errors": _with(*PARSED, *SAID, query="select * from told"),
     "parse_error_counts": _with(*PARSED, ERRORS, query="select label_category, error_type, count(*) as n from errs group by all"),
     "hallucinated_codes": _with(RAW, FW, query=f"select * from (select doc_id, [{', '.join(map(_text, CATEGORY))}][1 + doc_id % 3] as label_category, ['OUT_GAIN', 'COST', 'MET_SURVEY', 'NEW_CODE'][1 + doc_id % 4] as label_code from documents) x where not exists (select 1 from fw where fw.category = label_category and fw.code = label_code)"),
     "finding_identifiers": f"""select doc_id, {_safe(STEM, 40)} || '__' || {_safe('category', 30)} || '__' || printf('%04d', doc_id) as snippet_id, substr('req-' || printf('%04d', doc_id) || '-' || regexp_replace(filename, '[^A-Za-z0-9_-]', '_', 'g'), 1, 64) as custom_id,
@@ -214,8 +221,19 @@ ORACLES["pacing_replay"] = """with recursive
     select u.lane, u.seq, u.ts_us, u.tokens, s.sent_us from s join u on u.lane = s.lane and u.k = s.k - 1 where s.sent_us is not null"""
 _HASHED = "h as (select doc_id, left(sha256(coalesce(source, '') || '|' || coalesce(lang, '') || '|COST|' || coalesce(text, '')), 16) as finding_hash from documents)"
 ORACLES["dedup_by_hash"] = _with(_HASHED, query="select min_by(snippet_id, run || snippet_id) as snippet_id, finding_hash from (select '0' as run, 'a_' || doc_id as snippet_id, finding_hash from h where doc_id % 4 < 2 union all select '1', 'b_' || doc_id, finding_hash from h where doc_id % 4 > 0) group by finding_hash")
-_NOISY = r"case doc_id % 4 when 0 then replace(text, ' ', chr(160)) when 1 then replace(replace(text, '''', chr(8217)), 'e ', 'e ' || chr(8212) || ' ') when 2 then replace(text, 'ne', 'n- ' || chr(10) || ' e') else replace(text, '. ', chr(8230) || chr(9) || chr(8203) || ' ') end"
+_FOLDED = "x" + "'" * 5 + '"' * 4 + "''" + "-" * 7 + "... x "
+_NOISY = f"""case doc_id % 6 when 0 then replace(text, ' ', chr(160)) when 1 then replace(replace(text, '''', chr(8217)), 'e ', 'e ' || chr(8212) || ' ') when 2 then replace(text, 'ne', 'n- ' || chr(10) || ' e')
+    when 3 then replace(text, '. ', chr(8230) || chr(9) || chr(8203) || ' ') when 4 then text else {_text(_FOLDED)} || text end"""
 _MAPPED = "replace(replace(translate(coalesce(noisy, ''), chr(160) || chr(8217) || chr(8212), ' ''-'), chr(8230), '...'), chr(8203), '')"
 ORACLES["normalize_text"] = _with(f"n as (select doc_id, {_NOISY} as noisy from documents)", f"m as (select doc_id, {_norm(_MAPPED)} as display from n)", query=f"select doc_id, display, {_cf('display')} as cf from m")
 _BLOCKS_SQL = ORACLES["label_prompt_blocks"].split(" select category, cat_ord, n_codes, ", 1)
 ORACLES["analysis_prompts"] = f"{_BLOCKS_SQL[0]}, b as (select category, cat_ord, {_BLOCKS_SQL[1]}) select category, cat_ord, {_text(HEAD)} || blocks || {_text(tail(True))} as prompt from b"
+_ASK = "You sum up coded findings of a systematic review.\nYou get a JSON object with findings (label_code, snippet, reasoning) from several documents. For each of the codes "
+_SHAPE = ' write three to five sentences on the themes of its snippets. Answer with JSON only:\n{"syntheses": [{"label_code": "<code>", "summary": "<text>"}]}\n'
+ORACLES["summary_prompts"] = _with(RAW, FW, CATS, query=f"select category, cat_ord, {_text(_ASK)} || replace(codes, ',', ', ') || {_text(_SHAPE)} as prompt from cats")
+_CONTENT = "json_array(json_object('type', 'document', 'source', json_object('type', 'file', 'file_id', file_id)), json_object('type', 'text', 'text', prompt))"
+_BODY = f"json_object('custom_id', custom_id, 'params', json_object('model', 'some-model', 'max_tokens', 8192, 'messages', json_array(json_object('role', 'user', 'content', {_CONTENT}))))::varchar"
+_CUSTOM = "substr('req-' || printf('%04d', idx) || '-' || regexp_replace(filename, '[^A-Za-z0-9_-]', '_', 'g'), 1, 64)"
+_PROMPTS = ORACLES["analysis_prompts"].removeprefix("with ")
+_HEADS, _LAST_SELECT = _PROMPTS.rsplit(" select category, cat_ord, ", 1)
+ORACLES["batch_bodies"] = f"with {_HEADS}, asked as (select category, cat_ord, {_LAST_SELECT}), {DOCS}, {FILES} select category, custom_id, {_BODY} as body from (select category, prompt, file_id, {_CUSTOM} as custom_id from files, asked)"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 # The verdicts of the match ladder, the methods and the error types.
 VERIFIED, FRAGMENTED, FUZZY, NEAR = "verified", "verified_fragmented", "verified_fuzzy", "near_match"
@@ -56,6 +56,22 @@ class Settings:
 
     @classmethod
     def from_env(cls, **given) -> Settings:
-        """Provider and model from the environment, unless given."""
-        env = {"provider": os.environ.get("QUOTARIUM_PROVIDER"), "model": os.environ.get("QUOTARIUM_MODEL")}
-        return cls(**({k: v for k, v in env.items() if v} | given))
+        """Every setting from QUOTARIUM_<NAME> where that is set, unless given."""
+        env = {f.name: os.environ[f"QUOTARIUM_{f.name.upper()}"] for f in fields(cls) if os.environ.get(f"QUOTARIUM_{f.name.upper()}")}
+        return cls(**(cls.parsed(env) | given))
+
+    @classmethod
+    def parsed(cls, texts: dict[str, str]) -> dict:
+        """Settings as text, each in its own type; an unknown name or a value of another type is refused."""
+        kinds, out = {f.name: f.type for f in fields(cls)}, {}
+        for name, text in texts.items():
+            if name not in kinds:
+                raise ValueError(f"no setting {name!r}; there are {sorted(kinds)}")
+            kind = kinds[name].split(" ")[0]
+            if kind == "bool":
+                if text.lower() not in ("true", "false", "1", "0", "yes", "no"):
+                    raise ValueError(f"{name} is true or false, not {text!r}")
+                out[name] = text.lower() in ("true", "1", "yes")
+            else:
+                out[name] = {"int": int, "float": float, "str": str}[kind](text)
+        return out

@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 from quotarium.functions.ids import basename
 from quotarium.operators.assembly import BLOCKS
 from quotarium.operators.requests import documents, suffix
+from quotarium.sources.office import slide_blocks, word_blocks
 from quotarium.storage import small_batches
 
-#: (content) -> [(page_no, block_no, text, y0, y1, page_height)], by suffix. PDF and office formats need a library of the user's.
+#: (content) -> [(page_no, block_no, text, y0, y1, page_height)], by suffix. PDF and the old binary office formats need a library of the user's.
 Extractor = Callable[[bytes], list[tuple[int, int, str, float, float, float]]]
 
 
+#: Rows of blocks that go back to Spark at once.
+LARGEST_FRAME = 10_000
+
+
 def text_blocks(content: bytes) -> list[tuple[int, int, str, float, float, float]]:
     """Plain text: form feeds part pages, blank lines part blocks."""
     out = []
@@ -41,10 +46,10 @@ def pdf_blocks(content: bytes) -> list[tuple[int, int, str, float, float, float]
 
 
 def no_office(content: bytes):
-    raise RuntimeError("office files must be converted to PDF first: register an extractor for them")
+    raise RuntimeError("old binary office files must be converted first: register an extractor for them")
 
 
-EXTRACTORS: dict[str, Extractor] = {".pdf": pdf_blocks, ".txt": text_blocks, **dict.fromkeys((".docx", ".doc", ".pptx", ".ppt"), no_office)}
+EXTRACTORS: dict[str, Extractor] = {".pdf": pdf_blocks, ".txt": text_blocks, ".docx": word_blocks, ".pptx": slide_blocks, ".doc": no_office, ".ppt": no_office}
 
 
 def discover(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
@@ -68,7 +73,8 @@ def blocks(spark: SparkSession, folder: str, extractors: dict[str, Extractor] |
             for name, kind, content in zip(b["filename"], b["kind"], b["content"]):
                 own = pd.DataFrame(known[kind](bytes(content)), columns=names)
                 own.insert(0, "filename", name)
-                yield own
+                for a in range(0, len(own), LARGEST_FRAME):
+                    yield own.iloc[a : a + LARGEST_FRAME]
 
     small_batches(spark)
     return rows.mapInPandas(run, BLOCKS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import functools
+import io
 import re
 import tempfile
 import uuid
@@ -126,11 +127,17 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     """Writes beside the target, then renames: a reader sees the old file or the new one."""
+    write_stream(spark, path, io.BytesIO(content))
+
+
+def write_stream(spark: SparkSession, path: str, source, block: int = 1 << 20) -> None:
+    """write_bytes() of all that a reader gives, block by block."""
     fs, target = filesystem(spark, path)
     fs.mkdirs(target.getParent())
     _, temp = filesystem(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     stream = fs.create(temp, True)
-    stream.write(bytearray(content))
+    while part := source.read(block):
+        stream.write(bytearray(part))
     stream.close()
     if not fs.rename(temp, target):  # stores that don't rename onto a file
         fs.delete(target, False)
