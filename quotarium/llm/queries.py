@@ -95,7 +95,42 @@ _RULES = """
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and within as kept from b join j using (r)"""
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUN = 50
+
+#: Words are numbered through a text. A window of words that stood before drops its words; what is left of a line keeps the white space before kept words, and that at its end.
+_PASSAGES = f"""
+    with lines as (select doc_id, i as line, x as text from (select doc_id, unnest(string_split(text, chr(10))) as x, generate_subscripts(string_split(text, chr(10)), 1) as i from documents where text <> '')),
+    units as (select doc_id, line, unnest(us) as u, generate_subscripts(us, 1) as k, len(us) as n from (select doc_id, line, regexp_extract_all(text, '[\\x20\\x09\\x0B-\\x0D]*[^\\x20\\x09-\\x0D]+') as us from lines)),
+    words as (select *, ltrim(u, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as w, row_number() over (partition by doc_id order by line, k) as at_ from units),
+    texts as (select doc_id, list(w order by at_) as ws from words group by doc_id having count(*) >= {_RUN}),
+    windows as (select doc_id, p, md5(array_to_string(ws[p : p + {_RUN - 1}], ' ')) as m from (select *, unnest(range(1, len(ws) - {_RUN} + 2)) as p from texts)),
+    hits as (select doc_id, p from (select doc_id, p, row_number() over (partition by m order by doc_id, p) as r from windows) where r > 1),
+    marked as (select w.*, max(h.p) over o is not null as gone, max(h.p) over i is not null as inside from words w left join hits h on h.doc_id = w.doc_id and h.p = w.at_
+               window o as (partition by w.doc_id order by w.at_ rows between {_RUN - 1} preceding and current row), i as (partition by w.doc_id order by w.at_ rows between {_RUN - 1} preceding and 1 preceding)),
+    own as (select doc_id, line, count(*) as n, count(*) filter (not gone) as n_kept, sum(length(u)) as used, list(substr(u, 1, length(u) - length(w)) order by k) as spaces from marked group by doc_id, line),
+    next_ as (select l.doc_id, l.line, l.text, o.n, o.n_kept, o.used, first_value(m.inside ignore nulls) over (partition by l.doc_id order by l.line rows between 1 following and unbounded following) as enclosed
+              from lines l left join own o using (doc_id, line) left join (select doc_id, line, inside from marked where k = 1) m using (doc_id, line)),
+    kept_ as (select *, coalesce(max(case when not gone then k end) over (partition by doc_id, line order by k rows between unbounded preceding and 1 preceding), 0) as last_ from marked),
+    rest as (select doc_id, line, string_agg(o.spaces[last_ + 1] || w, '' order by k) as kept from kept_ join own o using (doc_id, line) where not gone group by doc_id, line),
+    left_ as (select n.*, r.kept, case when n.n is null then coalesce(n.enclosed, false) else n.n_kept = 0 end as whole from next_ n left join rest r using (doc_id, line)),
+    out as (select doc_id, count(*) as n_lines, count(*) filter (whole) as n_removed_lines, coalesce(string_agg(case when n is null or n_kept = n then text else kept || substr(text, used::bigint + 1) end, chr(10) order by line) filter (not whole), '') as text from left_ group by doc_id)
+    select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed_lines, 0) as n_removed_lines, sha256(coalesce(out.text, '')) as text_sha256 from documents d left join out using (doc_id)"""
+
+_NEAR = f"""
+    with recursive t as (select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+    s as (select distinct doc_id, unnest(case when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as x from t),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    b as (select a.doc_id as a, b.doc_id as b, count(*) as both_ from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by all),
+    l as (select a, b from b join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * both_ >= 85 * (na.n + nb.n - both_)),
+    e as (select a, b from l union all select b, a from l),
+    r as (select doc_id as id, doc_id as to_ from t union select r.id, e.b from r join e on e.a = r.to_)
+    select id as doc_id, coalesce(n.n, 0) as n_shingles, min(to_) as component_id, id = min(to_) as kept from r left join n on n.doc_id = id group by id, n.n"""
+
+
 ORACLES = {
+    "op1_line_dedup": _PASSAGES,
+    "op6_minhash": _NEAR,
     "op2_quality_rules": _RULES,
     "op3_exact_dedup": """
         with t as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as text_sha256,

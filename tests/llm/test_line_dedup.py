@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from compare import connect, differences
 
 from quotarium.llm import line_dedup, queries
 
@@ -57,6 +58,10 @@ def test_passages_on_documents(docs):
     assert words_left(line_dedup.passage_dedup(docs)) == sorted(brute_words(rows), key=repr)
 
 
+def test_like_sql(spark, sf_dir):
+    assert differences(queries.op1_line_dedup(spark, sf_dir), connect(sf_dir), queries.oracle_sql()["op1_line_dedup"]) is None
+
+
 def test_passages_odd(odd, none):
     got = line_dedup.passage_dedup(odd)
     assert got.count() == odd.count() and got.columns == ["doc_id", "text", "n_lines", "n_removed_lines"]

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from compare import connect, differences
 
 from quotarium.llm import minhash, queries
 from quotarium.llm.textnum import shingle_sets
@@ -102,6 +103,10 @@ def test_odd(odd, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_like_sql(spark, sf_dir):
+    assert differences(queries.op6_minhash(spark, sf_dir), connect(sf_dir), queries.oracle_sql()["op6_minhash"]) is None
+
+
 def test_one_letter_words_and_ties(spark):
     rows = [(i, " ".join("ab"[i >> k & 1] for k in range(6))) for i in range(64)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
