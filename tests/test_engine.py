@@ -1,11 +1,16 @@
 """Framework, parsing, ladder, assembly, audit, runs and a whole run with a fake provider."""
 
+import io
 import json
+import os
+import time
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from quotarium import settings as S
+from quotarium.__main__ import provider_options
 from quotarium.operators import assembly, audit, framework, ladder, pacing, prompts, requests, responses, runs
 from quotarium.plans import derived, engine
 from quotarium.settings import Settings
@@ -285,6 +290,159 @@ def test_providers(spark, tmp_path):
     assert status.is_complete and status.counts == {"succeeded": 1, "errored": 1}
 
 
+def test_landed_chunks_are_not_asked_again(spark, tmp_path):
+    """A run that breaks in the middle has landed whole chunks; with the same key the rest alone is asked."""
+    seen, s = tmp_path / "seen", Settings()
+    seen.mkdir()
+
+    def call(custom_id, prompt, file_id, uri):
+        with open(seen / f"{custom_id}-{os.getpid()}-{time.time_ns()}", "w"):
+            pass
+        return {"text": custom_id, "tokens": 3}
+
+    rows = spark.createDataFrame([(f"c{i}", "p", f"f{i}") for i in range(40)], "custom_id string, prompt string, file_id string")
+    first = SynchronousProvider(spark, s, str(tmp_path / "landing"), call, chunk=10)
+    batch = first.submit("A", rows)
+    assert len(list(seen.iterdir())) == 40 and first.check(batch).counts == {"succeeded": 40, "errored": 0}
+    folder = tmp_path / "landing" / batch
+    assert len(list(folder.glob("chunk=*"))) == 4
+    gone = (folder / "chunk=2" / "_SUCCESS")
+    n = sum(len(f.read_text().splitlines()) for f in (folder / "chunk=2").glob("part-*"))
+    gone.unlink(), (folder / "_SUCCESS").unlink()
+    again = SynchronousProvider(spark, s, str(tmp_path / "landing"), call, chunk=10)
+    again.run_key = first.run_key
+    assert again.submit("A", rows) == batch and len(list(seen.iterdir())) == 40 + n
+    assert {r["text"] for r in responses.results(wire.read_records(spark, str(folder))).collect()} == {f"c{i}" for i in range(40)}
+    assert again.submit("B", rows.limit(0)) != batch
+
+
+def test_synchronous_service(spark, tmp_path):
+    """The call that ships, over a real socket, with the document's content."""
+    import http.server
+    import threading
+
+    asked = []
+
+    class Server(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            asked.append((self.path, self.headers["x-key"], json.loads(self.rfile.read(int(self.headers["content-length"])))))
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps({"output": [{"content": [{"type": "output_text", "text": "{}"}, {"type": "other"}]}], "usage": {"total_tokens": 7}}).encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        (tmp_path / "a.pdf").write_bytes(b"%PDF")
+        os.environ["OWN_KEY"] = "secret"
+        s = Settings(model="m", provider="synchronous")
+        options = provider_options("Synchronous", s, f"http://127.0.0.1:{server.server_port}", ["x-key=env:OWN_KEY"], None, 1)
+        p = get_provider("synchronous", spark, s, f"{tmp_path}/landing", **options)
+        files = p.upload(documents.discover(spark, str(tmp_path)))
+        rows = requests.request_matrix(files, prompts.analysis_prompts(derived.labels(spark))).filter("category = 'Methods'")
+        batch = p.submit("Methods", rows)
+        assert p.check(batch).counts == {"succeeded": 1, "errored": 0}
+        path, key, body = asked[0]
+        assert path == "/responses" and key == "secret" and body["model"] == "m"
+        assert body["input"][0]["content"][1] == {"type": "input_file", "filename": "a.pdf", "file_data": "data:application/pdf;base64,JVBERg=="}
+    finally:
+        server.shutdown()
+    with pytest.raises(SystemExit):
+        provider_options("synchronous", s, None, [], None, 1)
+    with pytest.raises(SystemExit):
+        provider_options("batch", s, None, [], None, 1)
+    assert provider_options("batch", s, "http://x", ["a=b"], None, 1) == {"base_url": "http://x", "headers": {"a": "b"}}
+    assert provider_options("synchronous", s, None, [], "json:dumps", 3)["call"] is json.dumps
+
+
+def test_settings_from_text(monkeypatch):
+    monkeypatch.setenv("QUOTARIUM_MODEL", "m")
+    monkeypatch.setenv("QUOTARIUM_MAX_DOCUMENTS", "5")
+    monkeypatch.setenv("QUOTARIUM_STRIP_BOILERPLATE", "no")
+    s = Settings.from_env(model="given", **Settings.parsed({"fuzzy_threshold": "98.5"}))
+    assert (s.model, s.max_documents, s.strip_boilerplate, s.fuzzy_threshold) == ("given", 5, False, 98.5)
+    with pytest.raises(ValueError):
+        Settings.parsed({"no_such": "1"})
+    with pytest.raises(ValueError):
+        Settings.parsed({"dry_run": "perhaps"})
+
+
+def zipped(parts):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, text in parts.items():
+            z.writestr(name, text)
+    return out.getvalue()
+
+
+def test_office_files(spark, tmp_path):
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    para = lambda *runs: f"<w:p>{''.join(runs)}</w:p>"
+    run = lambda t: f"<w:r><w:t>{t}</w:t></w:r>"
+    body = para(run("Costs fell "), run("by a third")) + para(run("last of the page"), '<w:r><w:br w:type="page"/></w:r>', run("next page")) + para() + para("<w:r><w:lastRenderedPageBreak/></w:r>", run("third &amp; last"))
+    (tmp_path / "a.docx").write_bytes(zipped({"word/document.xml": f"<w:document {w}><w:body>{body}</w:body></w:document>"}))
+    ns = 'xmlns:a="http://schemas.openxmlformats.org/drawingml/2006/main" xmlns:p="http://schemas.openxmlformats.org/presentationml/2006/main"'
+    shape = lambda t, y=None: f"<p:sp><p:spPr>{'' if y is None else f'<a:xfrm><a:off x=\"0\" y=\"{y}\"/><a:ext cx=\"1\" cy=\"100\"/></a:xfrm>'}</p:spPr><p:txBody><a:p><a:r><a:t>{t}</a:t></a:r></a:p></p:txBody></p:sp>"
+    slide = lambda *shapes: f"<p:sld {ns}><p:cSld><p:spTree>{''.join(shapes)}</p:spTree></p:cSld></p:sld>"
+    parts = {"ppt/presentation.xml": f'<p:presentation {ns}><p:sldSz cx="100" cy="1000"/></p:presentation>', "ppt/slides/slide10.xml": slide(shape("tenth")), "ppt/slides/slide2.xml": slide(shape("Footer", 900), shape("Body text"), shape(" ")), "ppt/slides/slide1.xml": slide()}
+    (tmp_path / "b.pptx").write_bytes(zipped(parts))
+    got = sorted((r["filename"], r["page_no"], r["block_no"], r["text"]) for r in documents.blocks(spark, str(tmp_path)).collect() if r["text"])
+    assert got == [("a.docx", 1, 0, "Costs fell by a third"), ("a.docx", 1, 1, "last of the page"), ("a.docx", 2, 0, "next page"), ("a.docx", 3, 0, "third & last"), ("b.pptx", 2, 0, "Footer"), ("b.pptx", 2, 1, "Body text"), ("b.pptx", 3, 0, "tenth")]
+    margins = {r["text"] for r in documents.blocks(spark, str(tmp_path)).filter(assembly.in_margin(0.12)).collect() if r["text"]}
+    assert margins == {"Footer"}
+    assert assembly.page_counts(documents.blocks(spark, str(tmp_path))).orderBy("filename").collect()[1]["n_pages"] == 3
+
+
+def test_pdf_adapter(monkeypatch):
+    """The adapter against the library's interface: blocks of text, image blocks and blank pages."""
+    import sys
+    import types
+
+    class Page:
+        rect = types.SimpleNamespace(height=700)
+
+        def __init__(self, blocks):
+            self.blocks = blocks
+
+        def get_text(self, kind):
+            assert kind == "blocks"
+            return self.blocks
+
+    class Doc(list):
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            pass
+
+    pages = [Page([(0, 10, 1, 20, "one", 0, 0), (0, 30, 1, 40, "<image>", 1, 1), (0, 50, 1, 60, "  ", 2, 0), (0, 70, 1, 80, "two", 3, 0)]), Page([])]
+    monkeypatch.setitem(sys.modules, "pymupdf", types.SimpleNamespace(open=lambda stream, filetype: Doc(pages)))
+    assert documents.pdf_blocks(b"") == [(1, 0, "one", 10.0, 20.0, 700.0), (1, 3, "two", 70.0, 80.0, 700.0), (2, 0, None, 0.0, 0.0, 700.0)]
+    monkeypatch.setitem(sys.modules, "pymupdf", None)
+    with pytest.raises(RuntimeError):
+        documents.pdf_blocks(b"")
+
+
+def test_numbering_without_one_task(spark, monkeypatch):
+    monkeypatch.setattr(requests, "LEAST_DEALT", 3)
+    paths = spark.createDataFrame([(f"/d/{i:03}.pdf",) for i in range(50)] + [("/d/x.md",)], "path string")
+    want = [(f"{i:03}.pdf", i + 1) for i in range(50)]
+    assert [(r["filename"], r["idx"]) for r in requests.documents(paths).orderBy("idx").collect()] == want
+    assert [(r["filename"], r["idx"]) for r in requests.documents(paths, 10).orderBy("idx").collect()] == want[:10]
+
+
+def test_passages_of_any_length(spark):
+    docs = spark.createDataFrame([("a", "the costly sale of ships"), ("b", "cost"), ("c", "x y"), ("d", "")], "filename string, full_cf string")
+    needles = {1: "cost", 2: "ly sale", 3: "y", 4: "costly sale of", 5: "ostly sale of shi", 6: "", 7: "absent words here", 8: "ale of s"}
+    got = {tuple(r) for r in ladder.located(spark.createDataFrame(list(needles.items()), "key int, text string"), docs).collect()}
+    texts = {r["filename"]: r["full_cf"] for r in docs.collect()}
+    assert got == {(k, f, t.find(n)) for k, n in needles.items() for f, t in texts.items() if n and n in t}
+    assert ladder.located(spark.createDataFrame([], "key int, text string"), docs).count() == 0
+
+
 def test_http_batches(spark, tmp_path):
     import http.server
     import threading
