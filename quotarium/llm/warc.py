@@ -28,33 +28,41 @@ MIN_REVISIT = 100
 CLOSING = "".join(map(chr, SEEK_MAGIC))
 
 
+_HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
+
+
 def make_record(page_id: int | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record. A revisit has no body; its headers keep the payload's digest and length."""
-    body = b"" if kind == "revisit" else payload
+    """One WARC/1.1 record. A response's block is an HTTP response with the payload as its body; a revisit has no block, its headers keep the payload's digest and length."""
+    block = b"" if kind == "revisit" else _HTTP.format(len(payload)).encode() + payload
     head = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
         "WARC-Target-URI: " + "".join(c for c in url or "" if c >= " "), "WARC-Date: 1970-01-01T00:00:00Z",
-        f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}", "Content-Type: text/html", f"Content-Length: {len(body)}",
+        f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}", "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}",
     ]
     if kind == "revisit":
         head += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """Header fields and payload."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-    return fields, rest[: int(fields["Content-Length"])]
+    return fields, rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
+
+
+#: Set in a record's frame number if it has no identifier.
+NO_KEY = 1 << 31
 
 
-def make_bundle(records: list[tuple[int, bytes]], frame_bytes: int = FRAME_BYTES) -> bytes:
+def make_bundle(records: list[tuple[int | None, bytes]], frame_bytes: int = FRAME_BYTES) -> bytes:
     """A bundle without its last four bytes, which the writer's line separator adds."""
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
     frames, table, index, plain, at = [], [], [], [], 0
     for i, (key, raw) in enumerate(records):
-        index.append(struct.pack("<qIQQ", key, len(frames), at, len(raw)))
+        index.append(struct.pack("<qIQQ", key or 0, len(frames) | (NO_KEY if key is None else 0), at, len(raw)))
         plain.append(raw)
         at += len(raw)
         if at >= frame_bytes or i == len(records) - 1:
@@ -68,7 +76,7 @@ def make_bundle(records: list[tuple[int, bytes]], frame_bytes: int = FRAME_BYTES
     return b"".join([*frames, struct.pack("<II", SKIPPABLE_SEEK, 8 * len(table) + 9), *table, foot])
 
 
-def read_index(bundle: bytes) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
+def read_index(bundle: bytes) -> tuple[list[tuple[int, int]], list[tuple[int | None, int, int, int]]]:
     """(start, size) of each data frame, and (key, frame, offset, length) of each record, from the footer backwards."""
     if bundle[-4:] != SEEK_MAGIC:
         raise ValueError("not a seekable bundle")
@@ -81,10 +89,11 @@ def read_index(bundle: bytes) -> tuple[list[tuple[int, int]], list[tuple[int, in
         frames.append((begin, size))
         begin += size
     begin, size = frames.pop()
-    return frames, list(struct.iter_unpack("<qIQQ", bundle[begin + 8 : begin + size]))
+    index = struct.iter_unpack("<qIQQ", bundle[begin + 8 : begin + size])
+    return frames, [(None if frame & NO_KEY else key, frame & ~NO_KEY, offset, length) for key, frame, offset, length in index]
 
 
-def fetch(bundle: bytes, frames: list[tuple[int, int]], entry: tuple[int, int, int, int]) -> bytes:
+def fetch(bundle: bytes, frames: list[tuple[int, int]], entry: tuple[int | None, int, int, int]) -> bytes:
     """One record: only its frame is decompressed."""
     import zstandard
 
@@ -118,7 +127,7 @@ def write_bundles(rows: DataFrame, path: str, bundle_bytes: int = BUNDLE_BYTES,
                 if held and size + len(raw) > bundle_bytes:
                     yield give()
                     held, size = [], 0
-                held.append((-1 if key is None else key, raw))
+                held.append((key, raw))
                 size += len(raw)
         if held:
             yield give()
@@ -148,7 +157,7 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
                     own = head["WARC-Record-ID"][10:-1]
                     is_own = head["WARC-Type"] == "response"
                     digest = hashlib.sha256(body).hexdigest() if is_own else head["WARC-Payload-Digest"][7:]
-                    if digest != head["WARC-Payload-Digest"][7:] or (own and int(own) != key):
+                    if digest != head["WARC-Payload-Digest"][7:] or (int(own) if own else None) != key:
                         raise ValueError(f"record {key} of {file} is damaged")
                     to = head.get("WARC-Refers-To", "")[10:-1]
                     out.append((int(own) if own else None, len(body) if is_own else int(head["X-Payload-Length"]), digest, head["WARC-Type"], int(to) if to else None, file, frame, offset, length))
@@ -166,7 +175,7 @@ def warc_round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
 
     Of records with equal payloads of at least 100 bytes the smallest page_id is response, the others revisit it. Rows that share that
     smallest page_id are all responses; a null page_id is never the smallest, and copies that all lack a page_id are responses.
-    An empty table writes no bundle and returns no rows. Other columns are ignored.
+    A payload of any length is a record of its own. An empty table writes no bundle and returns no rows. Other columns are ignored, whatever their names.
     """
     spark = pages.sparkSession
     path = path or scratch(spark, "warc")
