@@ -11,6 +11,8 @@ it, and rows that differ (a collision) are grouped again by their bytes. Rows of
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,8 +98,8 @@ def exact_dedup_files(spark: SparkSession, path: str, schema, digest=sha, state:
     files = spark.read.schema(schema).parquet(path)
     text = normalised(F.col("text"))
     docs = files.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.col("_metadata.file_path").alias("locator"), F.col("_metadata.row_index").alias("locator_row"))
-    hot = hot_keys(found, ["digest"], found.agg(F.sum("group_size")).first()[0] or 0, F.col("group_size"))
-    rows = spread(docs.withColumn("digest", digest(F.col("text"))), bounded(found.select("digest", "keep_id", "group_size"), 128), ["digest"], ["locator", "locator_row"], hot, "left").withColumn("text_sha256", sha(F.col("text")))
+    hot = functools.cache(lambda: hot_keys(found, ["digest"], F.col("group_size")))
+    rows = spread(docs.withColumn("digest", digest(F.col("text"))), found.select("digest", "keep_id", "group_size"), ["digest"], ["locator", "locator_row"], hot, "left", 128).withColumn("text_sha256", sha(F.col("text")))
     hit = rows.filter(F.col("group_size").isNotNull())
     # the content at each locator, which the bytes of every row of its digest are compared with
     where = bounded(found.select("locator", "locator_row", "digest"), 256)

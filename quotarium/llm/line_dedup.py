@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotarium.llm.common import bounded, hot_keys, small_batches, spread, steps, written
+from quotarium.llm.common import hot_keys, small_batches, spread, steps, written
 from quotarium.llm.textnum import _DOWN, _UP, buffers, mix, spans, word_hashes
 
 RUN, GRAM = 50, 20
@@ -126,20 +126,18 @@ def repeated(rows: DataFrame) -> DataFrame:
     marks = scanned.select(*_KEY, F.explode("marks").alias("m")).select("m.*", *_KEY)
     place = [*_KEY, "place"]
     counted = lambda df, on: written(df.groupBy(*on).agg(F.count("*").alias("c")).filter("c > 1"), "counts")
-    total = lambda df: df.agg(F.sum("c")).first()[0] or 0
     again = counted(marks, ["gram"])
-    marks = written(spread(marks, bounded(again.select("gram"), 24), ["gram"], place, hot_keys(again, ["gram"], total(again), F.col("c"))), "marks")
+    marks = written(spread(marks, again.select("gram"), ["gram"], place, lambda: hot_keys(again, ["gram"], F.col("c")), row_bytes=24), "marks")
     first = written(marks.groupBy("gram", "whole").agg(F.min(F.struct(*_KEY, "place", "n")).alias("a"), F.count("*").alias("c")), "first")
 
     def later(of: DataFrame, anchors: DataFrame) -> DataFrame:
         """The rows that aren't the first with their window."""
         found = anchors.filter("c > 1")
-        hot = hot_keys(found, ["gram", "whole"], total(found), F.col("c"))
-        return spread(of, found.select("gram", "whole", "a"), ["gram", "whole"], place, hot).filter(F.struct(*place) != F.struct("a.doc", "a.digest", "a.place"))
+        return spread(of, found.select("gram", "whole", "a"), ["gram", "whole"], place, lambda: hot_keys(found, ["gram", "whole"], F.col("c")), row_bytes=64).filter(F.struct(*place) != F.struct("a.doc", "a.digest", "a.place"))
 
     hits = later(marks, first).select(*_KEY, "place", "n")
     mixed = counted(first.select("gram"), ["gram"])
-    todo = spread(first.drop("c"), bounded(mixed.select("gram"), 24), ["gram"], ["whole"], hot_keys(mixed, ["gram"], total(mixed), F.col("c")))
+    todo = spread(first.drop("c"), mixed.select("gram"), ["gram"], ["whole"], lambda: hot_keys(mixed, ["gram"], F.col("c")), row_bytes=24)
     todo = todo.select("a.*").groupBy(*_KEY).agg(F.collect_list(F.struct("place", "n")).alias("want"))
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

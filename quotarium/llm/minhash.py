@@ -14,8 +14,9 @@ Links, components and sets stay distributed.
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,16 +99,14 @@ def components(edges: DataFrame) -> DataFrame:
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     label = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
     nodes = label.count()
-    few = nodes * 32 <= 24 << 20
-    small = F.broadcast if few else (lambda df: df)
-    hubs = None if few else hot_keys(both, ["b"], both.count())
+    small = F.broadcast if nodes * 32 <= 24 << 20 else (lambda df: df)
+    hubs = functools.cache(lambda: hot_keys(both, ["b"]))
     while True:
-        near = spread(both, small(label.select(F.col("id").alias("b"), F.col("component").alias("c"))), ["b"], ["a"], hubs).groupBy("a").agg(F.min("c").alias("c"))
+        near = spread(both, label.select(F.col("id").alias("b"), F.col("component").alias("c")), ["b"], ["a"], hubs, row_bytes=32).groupBy("a").agg(F.min("c").alias("c"))
         step = near.join(small(label), F.col("id") == F.col("a")).select("id", F.col("component").alias("was"), F.least("component", "c").alias("component"))
         step = written(step, "labels")
         up = step.select(F.col("id").alias("component"), F.col("component").alias("up"))
-        large = None if few else hot_keys(step, ["component"], nodes)
-        new = written(spread(step, small(up), ["component"], ["id"], large, "left").select("id", "was", F.least("component", "up").alias("component")), "labels")
+        new = written(spread(step, up, ["component"], ["id"], lambda step=step: hot_keys(step, ["component"]), "left", 32).select("id", "was", F.least("component", "up").alias("component")), "labels")
         if new.filter("was <> component").isEmpty():
             return new.select("id", "component")
         label = new.select("id", "component")
@@ -115,9 +114,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _joined(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
     """Written pairs with both sets' sizes and the sets: na, nb, sa, sb. Pairs of an `a` that has very many are dealt over tasks."""
-    hot = hot_keys(pairs, [a], pairs.count())
     left = pairs.join(sets.withColumnsRenamed({"id": b, "shingles": "sb"}), b)
-    left = spread(left, sets.withColumnsRenamed({"id": a, "shingles": "sa"}), [a], [b], hot)
+    left = spread(left, sets.withColumnsRenamed({"id": a, "shingles": "sa"}), [a], [b], lambda: hot_keys(pairs, [a]))
     return left.withColumns({"na": F.size("sa"), "nb": F.size("sb")})
 
 
@@ -150,7 +148,7 @@ def _bounded_sets(refs: DataFrame, column: str, limit: int = 24 << 20) -> DataFr
     return F.broadcast(refs) if size <= limit else refs
 
 
-def _described(rows: DataFrame, refs: DataFrame, sets: DataFrame, percent: int, hot: DataFrame) -> DataFrame:
+def _described(rows: DataFrame, refs: DataFrame, sets: DataFrame, percent: int, hot: Callable[[], DataFrame | None]) -> DataFrame:
     """family, id, label, n, cover (shingles in the reference), near (similarity to it) and outside: the first shingles outside the reference, as many as are needed."""
     all_ = spread(rows.select("family", "id", "label").join(sets, "id"), refs, ["family"], ["id"], hot).withColumns({"n": F.size("shingles"), "cover": F.size(F.array_intersect("shingles", "ref"))})
     # a partner has at least percent of this set, so it shares at least so many shingles that lie outside the reference
@@ -171,13 +169,12 @@ def _parts(rows: DataFrame, percent: int) -> DataFrame:
     at = F.explode(F.array(place, place + 1)).alias("part")
     by_size = covered.select("family", at, "id", "label", "n", "cover", "near").withColumn("part", F.xxhash64(F.lit("size"), "part"))
     # only sets small enough to be linked through the reference alone
-    parts = written(by_shingle.withColumn("kind", F.lit(0)).unionByName(by_size.withColumn("kind", F.lit(1))), "dealt")
-    hot = hot_keys(parts, _PART, parts.count())
+    parts = dealt = written(by_shingle.withColumn("kind", F.lit(0)).unionByName(by_size.withColumn("kind", F.lit(1))), "dealt")
     room = parts.groupBy(*_PART).agg(F.min("n").alias("smallest"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").drop("lo", "hi")
-    parts = spread(parts, room, _PART, ["id"], hot)
+    parts = spread(parts, room, _PART, ["id"], lambda: hot_keys(dealt, _PART), row_bytes=48)
     parts = written(parts.filter((F.col("kind") == 0) | ((100 + percent) * F.col("cover") >= percent * (F.col("n") + F.col("smallest")))).drop("smallest"), "dealt")
     open_ = parts.groupBy(*_PART).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select(*_PART)
-    return spread(parts, open_, _PART, ["id"], hot)
+    return spread(parts, open_, _PART, ["id"], lambda: hot_keys(dealt, _PART), row_bytes=48)
 
 
 def _may_link(percent: int) -> Column:
@@ -189,14 +186,14 @@ def _may_link(percent: int) -> Column:
 
 def _remaining_pairs(parts: DataFrame, percent: int) -> DataFrame:
     other = parts.select(*_PART, F.col("id").alias("id2"), F.col("label").alias("label2"), F.col("n").alias("n2"), F.col("cover").alias("cover2"))
-    both = spread(parts, other, _PART, ["id"], hot_keys(parts, _PART, parts.count())).filter((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & _may_link(percent))
+    both = spread(parts, other, _PART, ["id"], lambda: hot_keys(parts, _PART)).filter((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2")) & _may_link(percent))
     return both.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
 
 
 def _pivots(parts: DataFrame) -> DataFrame:
     """family (new), pivot, id, pivot_label, label: each part's member that is nearest to the reference is the pivot of that part."""
     best = parts.groupBy(*_PART).agg(F.max_by(F.struct("id", "label"), F.struct("near", "id")).alias("p"))
-    out = spread(parts, best, _PART, ["id"], hot_keys(parts, _PART, parts.count())).filter(F.col("id") != F.col("p.id"))
+    out = spread(parts, best, _PART, ["id"], lambda: hot_keys(parts, _PART)).filter(F.col("id") != F.col("p.id"))
     return out.select(F.xxhash64("family", "p.id").alias("family"), F.col("p.id").alias("pivot"), "id", F.col("p.label").alias("pivot_label"), "label").distinct()
 
 
@@ -205,7 +202,7 @@ def _pivots(parts: DataFrame) -> DataFrame:
 PAIRS, LEAST_PAIRS, LEFT = 16, 20_000, 80
 
 
-def candidate_links(members: DataFrame, docs: DataFrame, words: int, percent: int, lower: bool, texts: int, full: DataFrame | None) -> DataFrame:
+def candidate_links(members: DataFrame, docs: DataFrame, words: int, percent: int, lower: bool, texts: int, full: Callable[[], DataFrame | None]) -> DataFrame:
     """a, b of linked class representatives. members: written (key, id, m) of the buckets with m > 1 members; texts: number of classes; full: buckets of very many members."""
     score = members.groupBy("id").agg((F.sum("m") * 1048576 + F.max(F.pmod(F.xxhash64("id"), F.lit(1048576)))).alias("score"))
     members = written(members.join(score, "id"), "scored")
@@ -221,15 +218,15 @@ def candidate_links(members: DataFrame, docs: DataFrame, words: int, percent: in
         found = compared.filter("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
         links = found if links is None else links.unionByName(found)
         open_ = compared.groupBy("family", "pivot").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
-        families = bounded(written(open_.select("family", "pivot", "size"), "families"), 48)
-        hot = hot_keys(open_.select("family", "size"), ["family"], compared.count(), F.col("size"))
-        rows = spread(compared, families.select("family"), ["family"], ["id"], hot)
+        families = written(open_.select("family", "pivot", "size"), "families")
+        hot = functools.cache(lambda families=families: hot_keys(families, ["family"], F.col("size")))
+        rows = spread(compared, families.select("family"), ["family"], ["id"], hot, row_bytes=48)
         refs = _bounded_sets(written(_references(families, rows, sets), "references"), "ref")
         described = written(_described(rows, refs, sets, percent, hot), "described")
         # the pivot is only the likeliest centre; the member that is nearest to the consensus is a better one
         nearest = described.groupBy("family").agg(F.max_by(F.struct(F.col("id").alias("pivot"), F.col("label").alias("pivot_label")), F.struct("near", "id")).alias("q"), F.count("*").alias("size"))
-        nearest = bounded(written(nearest.filter(F.col("size") >= CONSENSUS_FROM).select("family", "q.*"), "nearest"), 48)
-        again = written(spread(described.select("family", "id", "label"), nearest, ["family"], ["id"], hot).filter(F.col("id") != F.col("pivot")), "again")
+        nearest = written(nearest.filter(F.col("size") >= CONSENSUS_FROM).select("family", "q.*"), "nearest")
+        again = written(spread(described.select("family", "id", "label"), nearest, ["family"], ["id"], hot, row_bytes=48).filter(F.col("id") != F.col("pivot")), "again")
         again = written(_against_pivot(again, sets, percent), "compared")
         links = links.unionByName(again.filter("linked").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
         met = described.join(again.select("family", "id", F.col("label").alias("new"), F.col("pivot").alias("q")), ["family", "id"], "left").withColumn("label", F.coalesce("new", "label")).drop("new", "q")
@@ -263,12 +260,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, lower: b
         rep = sig.join(classes, (sig["doc_id"] == classes["id"]) & (sig["set_digest"] == classes["set_digest"])).select("id", F.explode(F.array_distinct("bands")).alias("key")).distinct()
         rep = written(rep, "banded")
         shared = written(rep.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "shared")
-        large = hot_keys(shared, ["key"], rep.count(), F.col("m"))
-        members = written(spread(rep, shared, ["key"], ["id"], large), "members")
+        large = functools.cache(lambda: hot_keys(shared, ["key"], F.col("m")))
+        members = written(spread(rep, shared, ["key"], ["id"], large, row_bytes=32), "members")
         label = components(candidate_links(members, docs, words, percent, lower, classes.count(), large))
         named = keep(written(classes.join(label, "id", "left").select("set_digest", "copies", F.coalesce("component", "id").alias("component")), "named"))
-    often = hot_keys(named, ["set_digest"], sig.count(), F.col("copies"))
-    out = spread(full.select("doc_id", "n_shingles", "set_digest"), named.drop("copies"), ["set_digest"], ["doc_id"], often, "left").select("doc_id", "n_shingles", "component")
+    often = lambda: hot_keys(named, ["set_digest"], F.col("copies"))
+    out = spread(full.select("doc_id", "n_shingles", "set_digest"), named.drop("copies"), ["set_digest"], ["doc_id"], often, "left", 72).select("doc_id", "n_shingles", "component")
     out = out.unionByName(empty.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component")))
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

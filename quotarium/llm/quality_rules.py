@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotarium.llm.common import HOT_KEYS, HOT_ROWS, bounded, spread, steps, written
+from quotarium.llm.common import HOT_KEYS, HOT_ROWS, SHARES, bounded, spread, steps, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: measure: slack in thousandths, and whether a low value counts too
@@ -108,13 +108,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         one = level(2).join(bounded(level(1).drop("source_key"), 300), "lang_key", "left").join(F.broadcast(level(0).drop("lang_key", "source_key")), F.lit(True), "left")
         one = one.select("lang_key", "source_key", "rows2", F.when(F.col("rows2") >= LEAST_GROUP, F.col("at2")).when(F.col("rows1") >= LEAST_GROUP, F.col("at1")).otherwise(F.col("at0")).alias("at"))
         one = keep(written(one, "limits"))
-    keys, groups = ["lang_key", "source_key"], one.drop("rows2")
-    if one.count() * 300 <= 24 << 20:
-        out = rows.join(F.broadcast(groups), keys, "left")
-    else:  # rows of large groups are dealt over tasks
-        per = max(HOT_ROWS, (one.agg(F.sum("rows2")).first()[0] or 0) // HOT_KEYS)
-        hot = F.broadcast(one.filter(F.col("rows2") > per).select(*keys, F.ceil(F.col("rows2") / per).cast("int").alias("shares")))
-        out = spread(rows, groups, keys, ["doc_id"], hot, "left")
+    keys = ["lang_key", "source_key"]
+
+    def hot() -> DataFrame:
+        large = one.filter(F.col("rows2") > HOT_ROWS).orderBy(F.col("rows2").desc()).limit(HOT_KEYS)
+        return F.broadcast(large.select(*keys, F.least(F.ceil(F.col("rows2") / HOT_ROWS), F.lit(SHARES)).cast("int").alias("shares")))
+
+    out = spread(rows, one.drop("rows2"), keys, ["doc_id"], hot, "left", 300)
     within = F.lit(True)
     for m, (_, low) in MEASURES.items():
         within = within & (F.col(m) <= F.col(f"at.hi_{m}"))

@@ -7,6 +7,7 @@ else could change a count.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -46,8 +47,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     per = keys.groupBy("digest", "doc_id").agg(F.count("*").alias("n"))
     again = per.groupBy("digest").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.sum("n").alias("rows")).filter("rows > 1")
     again = written(again.select("digest", F.col("first.doc_id").alias("first_id"), F.col("first.n").alias("first_rows"), "rows"), "token-copies")
-    hot = hot_keys(again, ["digest"], again.agg(F.sum("rows")).first()[0] or 0, F.col("rows"))
-    todo = spread(rows, bounded(again.select("digest", "first_id", "first_rows"), 120), ["digest"], ["doc_id"], hot, "left")
+    hot = functools.cache(lambda: hot_keys(again, ["digest"], F.col("rows")))
+    todo = spread(rows, again.select("digest", "first_id", "first_rows"), ["digest"], ["doc_id"], hot, "left", 120)
     todo = todo.filter(F.col("first_rows").isNull() | F.col("doc_id").eqNullSafe(F.col("first_id")))
     stored = f"{cache}/tokenizer={own}"
     fs, at = filesystem(spark, stored)
@@ -69,7 +70,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     todo.mapInArrow(encode, CACHE).write.option("compression", "zstd").parquet(added)
     counts = _read(spark, added)
     counts = counts if known is None else counts.unionByName(known)
-    return spread(keys, counts, ["digest"], ["doc_id"], hot, "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return spread(keys, counts, ["digest"], ["doc_id"], hot, "left", 96).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:

@@ -59,6 +59,7 @@ def test_files_meet_an_older_state(spark, tmp_path):
 
 def test_a_frequent_text_is_dealt_over_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("quotarium.llm.common.HOT_ROWS", 5)
+    monkeypatch.setattr("quotarium.llm.common.fits", lambda *a: False)
     rows = [(i, "copy" if i % 3 else f"text {i}") for i in range(200)] + [(300, "Copy"), (301, None), (302, "")]
     spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(str(tmp_path / "in"))
     got = sorted((tuple(r) for r in exact_dedup.exact_dedup(spark.read.parquet(str(tmp_path / "in"))).collect()), key=repr)

@@ -71,6 +71,7 @@ def test_passages_odd(odd, none):
 
 def test_a_frequent_passage_is_dealt_over_tasks(spark, monkeypatch):
     monkeypatch.setattr("quotarium.llm.common.HOT_ROWS", 4)
+    monkeypatch.setattr("quotarium.llm.common.fits", lambda *a: False)
     test_passages_like_brute_force(spark, 3)
 
 

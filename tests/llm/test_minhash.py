@@ -76,6 +76,8 @@ def test_few_and_many_rounds(spark, monkeypatch, left, rows):
     monkeypatch.setattr(minhash, "LEAST_PAIRS", 0)
     monkeypatch.setattr(minhash, "PAIRS", 0)
     monkeypatch.setattr("quotarium.llm.common.HOT_ROWS", rows)
+    if rows < 10:
+        monkeypatch.setattr("quotarium.llm.common.fits", lambda *a: False)
     test_families(spark, 3, True)
 
 

@@ -47,6 +47,20 @@ def test_clean_documents_stay(spark, sf_dir, labels):
     assert got[got.quality == 1].kept.mean() > 0.97
 
 
-def test_native(spark, sf_dir):
-    plan = queries.op2_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+def test_large_groups_are_dealt_over_tasks(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(quality_rules, "HOT_ROWS", 5)
+    monkeypatch.setattr("quotarium.llm.common.fits", lambda *a: False)
+    assert differences(queries.op2_quality_rules(spark, sf_dir), connect(sf_dir), queries.oracle_sql()["op2_quality_rules"]) is None
+
+
+def test_native(spark, sf_dir, monkeypatch):
+    """No step's plan has Python in it, nor the last one's."""
+    plans, write = [], quality_rules.written
+
+    def seen(df, what):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, what)
+
+    monkeypatch.setattr(quality_rules, "written", seen)
+    plans.append(queries.op2_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 3 and not any(x in plan for plan in plans for x in ("Python", "Pandas", "Arrow", "ExistingRDD"))

@@ -57,6 +57,14 @@ def test_each_content_is_encoded_once(spark, tmp_path):
     assert stored.count() == stored.select("digest").distinct().count() == 5
 
 
+def test_a_frequent_content_is_dealt_over_tasks(spark, monkeypatch, lib):
+    monkeypatch.setattr("quotarium.llm.common.HOT_ROWS", 5)
+    monkeypatch.setattr("quotarium.llm.common.fits", lambda *a: False)
+    rows = [(i, "one text" if i % 3 else f"own {i}") for i in range(90)]
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), MODEL).collect()}
+    assert got == {i: len(lib.encode(t)) for i, t in rows}
+
+
 def test_query_meets_a_filled_cache(spark, docs, tmp_path, monkeypatch):
     """The same table again: the join to stored counts gives all of them, and nothing is encoded."""
     cache = str(tmp_path / "cache")
