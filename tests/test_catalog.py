@@ -28,8 +28,8 @@ def test_entry(spark):
 
 def test_only_two_rungs_stay_in_the_jvm(spark, sf_dir):
     plan = catalog.verify_exact(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "MapInArrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert "MapInArrow" in catalog.verify_ladder(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "_fuzzy" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "_fuzzy" in catalog.verify_ladder(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_fuzzy_verdicts_by_brute_force(spark, sf_dir):
