@@ -133,7 +133,7 @@ def repeated(rows: DataFrame) -> DataFrame:
     def later(of: DataFrame, anchors: DataFrame) -> DataFrame:
         """The rows that aren't the first with their window."""
         found = anchors.filter("c > 1")
-        return spread(of, found.select("gram", "whole", "a"), ["gram", "whole"], place, lambda: hot_keys(found, ["gram", "whole"], F.col("c")), row_bytes=64).filter(F.struct(*place) != F.struct("a.doc", "a.digest", "a.place"))
+        return spread(of, found.select("gram", "whole", "a"), ["gram", "whole"], place, lambda: hot_keys(found, ["gram", "whole"], F.col("c"))).filter(F.struct(*place) != F.struct("a.doc", "a.digest", "a.place"))
 
     hits = later(marks, first).select(*_KEY, "place", "n")
     mixed = counted(first.select("gram"), ["gram"])
