@@ -50,17 +50,27 @@ def window_usage(usage: DataFrame, settings: Settings = Settings()) -> DataFrame
 
     A request exactly as old as the window still counts. Each lane, such as one worker's share of the quota, is a window of its own.
 
-    A lane is cut into spans as long as the window, which tasks take one by one: a row also goes to the span behind its own, where it counts as the past. The last
+    A lane is cut into spans as long as the window, which tasks take one by one. A row comes in its own span and goes in the next one, a window later, so what a request finds is
+    what of the span before hasn't gone yet and what came before it in its own span: running sums over one sorted pass, however many rows a window holds. The last
     sizes before a span are handed on from the few rows that each span has at its end.
     """
     window = settings.window_seconds * 1_000_000
-    log = usage.filter("tokens > 0").withColumn("span", F.floor(F.col("ts_us") / window))
-    both = log.withColumn("at", F.explode(F.array("span", F.col("span") + 1)))
-    trailing = Window.partitionBy("lane", "at").orderBy("ts_us").rangeBetween(-window, Window.currentRow)
-    # peers with the same time that come later in order, and the row itself, are taken off again
-    peers = Window.partitionBy("lane", "at", "ts_us").orderBy(F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = both.withColumns({"used": F.sum("tokens").over(trailing) - F.sum("tokens").over(peers), "n_in": F.count("*").over(trailing) - F.count("*").over(peers), "oldest_us": F.min("ts_us").over(trailing)})
-    rows = rows.filter("at = span").drop("at").join(_sizes_before(log, settings.history), ["lane", "span"])
+    log = usage.filter("tokens > 0 and ts_us is not null").withColumn("span", F.floor(F.col("ts_us") / window))
+    turns = log.select("lane", "seq", "ts_us", "tokens", "span", F.explode(F.array(F.lit(0), F.lit(1))).alias("gone"))
+    turns = turns.withColumns({"span": F.col("span") + F.col("gone"), "at": F.col("ts_us") + F.col("gone") * window})
+    in_order = Window.partitionBy("lane", "span").orderBy("at", "gone", "seq")
+    before, whole = in_order.rowsBetween(Window.unboundedPreceding, -1), in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    come, gone = F.col("gone") == 0, F.col("gone") == 1
+
+    def there(n: Column) -> Column:
+        known = lambda x: F.coalesce(x, F.lit(0))
+        return known(F.sum(F.when(gone, n)).over(whole)) - known(F.sum(F.when(gone, n)).over(before)) + known(F.sum(F.when(come, n)).over(before))
+
+    next_to_go = F.expr("lead(if(gone = 1, ts_us, null)) ignore nulls over (partition by lane, span order by at, gone, seq)")
+    oldest = F.coalesce(next_to_go, F.min(F.when(come, F.col("ts_us"))).over(before))
+    rows = turns.withColumns({"used": there(F.col("tokens")), "n_in": there(F.lit(1)), "oldest_us": oldest}).filter(come)
+    own, sizes = rows.alias("r"), _sizes_before(log, settings.history).alias("s")
+    rows = own.join(sizes, F.col("r.lane").eqNullSafe(F.col("s.lane")) & (F.col("r.span") == F.col("s.span"))).select("r.*", "s.sizes")
     inside = Window.partitionBy("lane", "span").orderBy("ts_us", "seq").rowsBetween(-settings.history, -1)
     last = _last(F.concat("sizes", F.collect_list("tokens").over(inside)), settings.history)
     rows = rows.withColumn("last", last).withColumn("estimate", F.greatest(F.when(F.size("last") > 0, F.expr("aggregate(last, 0L, (a, x) -> a + x) div size(last)")).otherwise(F.lit(0)), F.lit(1)).cast("long"))
