@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotarium import settings as S
+from quotarium import storage
 from quotarium.__main__ import provider_options
 from quotarium.operators import assembly, audit, framework, ladder, pacing, prompts, requests, responses, runs
 from quotarium.plans import derived, engine
@@ -508,6 +509,24 @@ def test_stream(spark, tmp_path, corpus):
     assert all(r["tokens"] == 10 for r in spark.read.parquet(f"{tmp_path}/paced").collect())
 
 
+@pytest.fixture
+def wide_batches(spark):
+    """Spark's own limits of Arrow batches for a test, and what was set before after it."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    was = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.unset(k)
+    yield lambda: (spark.conf.get(keys[0]), spark.conf.get(keys[1]).rstrip("b")) == (str(storage.BATCH_ROWS), str(storage.BATCH_BYTES))
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+def test_texts_reach_python_in_small_batches(spark, wide_batches):
+    assert not wide_batches()
+    seen = assembly.texts_as_documents(spark.createDataFrame([("a",)], "text string"), F.lit("f"))
+    assert wide_batches() and seen.count() == 1
+
+
 def test_full_windows_are_summed_in_one_pass(spark):
     """Many requests in a window, some at the same time, against plain loops; no frame that is summed anew for each row. A lane may be null."""
     rng, least = random.Random(3), 60_000_000
