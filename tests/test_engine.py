@@ -542,3 +542,7 @@ def test_full_windows_are_summed_in_one_pass(spark):
         estimate = max(sum(last) // len(last), 1) if last else 1
         assert (r["used"], r["oldest_us"], r["estimate"]) == (sum(n for *_, n in inside), inside[0][0] if inside else None, estimate)
         assert r["admitted"] == (not inside or r["used"] + estimate <= 1000)
+
+
+def test_quotes_reach_python_in_small_batches(spark, corpus, wide_batches):
+    assert not wide_batches() and verdict(spark, corpus, LONG)["verification_status"] == S.VERIFIED and wide_batches()
