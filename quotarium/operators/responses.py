@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quotarium.functions import ids
 from quotarium.functions.answers import clean_json_text, decode_answer
 from quotarium.functions.text import strip
+from quotarium.storage import small_batches
 
 #: Both wire shapes at once: nested (message.content, error.message) and flat (text, error_message).
 WIRE = "custom_id string, result struct<type: string, text: string, error_message: string, message: struct<content: array<struct<type: string, text: string>>>, error: struct<message: string>>"
@@ -44,6 +45,7 @@ def decoded(responses: DataFrame, framework: DataFrame) -> DataFrame:
 
     The codes of a category come from a hand-written sheet and are broadcast with it.
     """
+    small_batches(responses.sparkSession)
     codes = framework.groupBy("category").agg(F.array_sort(F.collect_set("code")).alias("codes"))
     rows = responses.join(F.broadcast(codes), "category", "left").withColumn("codes", F.coalesce("codes", F.array().cast("array<string>")))
     usable = F.col("success") & (F.coalesce("text", F.lit("")) != "")
