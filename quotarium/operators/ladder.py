@@ -139,6 +139,7 @@ def located(passages: DataFrame, docs: DataFrame, words: int = 5) -> DataFrame:
     hash, and only such pairs are compared. Passages of two words or less have no inner words; the letters they begin with are sought among the documents' runs of letters.
     Texts are put together and written once, and taken apart once for all lengths of runs that occur.
     """
+    small_batches(passages.sparkSession)
     own = passages.select("key", normalize(F.col("text"), fold=True).alias("needle")).filter("needle <> ''")
     own = own.withColumn("inner", F.expr("slice(split(needle, ' '), 2, greatest(size(split(needle, ' ')) - 2, 0))")).withColumn("k", F.least(F.size("inner"), F.lit(words)))
     hashed = lambda kind, k, parts: F.xxhash64(F.lit(kind), F.lit(k), *parts)

@@ -557,3 +557,9 @@ def test_answers_reach_python_in_small_batches(spark, wide_batches):
 def test_scores_reach_python_in_small_batches(spark, wide_batches):
     v = spark.createDataFrame([("x", 96.65, "t")], "snippet_id string, match_score double, matched_text string")
     assert not wide_batches() and audit.audit(v).count() == 1 and wide_batches()
+
+
+def test_passages_reach_python_in_small_batches(spark, corpus, wide_batches):
+    assert not wide_batches()
+    found = ladder.located(spark.createDataFrame([(1, LONG)], "key int, text string"), corpus)
+    assert wide_batches() and found.count() == 1
