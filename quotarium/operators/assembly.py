@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotarium.functions.pages import assemble_lines
+from quotarium.functions.pages import assemble_blocks, assemble_lines
 from quotarium.functions.text import casefold, normalize, signature, strip
 from quotarium.settings import Settings
 from quotarium.storage import small_batches
@@ -68,7 +68,13 @@ def _with_layer(texts: DataFrame, settings: Settings) -> DataFrame:
 
 
 def from_blocks(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    return doc_texts(page_texts(blocks, settings), settings)
+    """doc_texts() of page_texts() in one grouping: a document's blocks meet once, and one Arrow UDF drops what recurs and puts the rest together."""
+    small_batches(blocks.sparkSession)
+    marginal = F.coalesce(in_margin(settings.margin), F.lit(False))
+    rows = blocks.groupBy("filename").agg(F.collect_list(F.struct("page_no", "block_no", marginal.alias("marginal"), "text")).alias("b"))
+    share = F.when(F.lit(settings.strip_boilerplate) & F.col("filename").isNotNull(), F.lit(float(settings.boilerplate_share)))
+    own = rows.select("filename", assemble_blocks(*[F.col(f"b.{c}") for c in ("page_no", "block_no", "marginal", "text")], share).alias("d"))
+    return _with_layer(own.select("filename", "d.*"), settings)
 
 
 def page_at(offsets: Column, place: Column) -> Column:

@@ -563,3 +563,15 @@ def test_passages_reach_python_in_small_batches(spark, corpus, wide_batches):
     assert not wide_batches()
     found = ladder.located(spark.createDataFrame([(1, LONG)], "key int, text string"), corpus)
     assert wide_batches() and found.count() == 1
+
+
+def test_blocks_meet_once(spark):
+    """Documents in one shuffle, equal to the plain steps; odd spaces, blank pages, numbers that are missing, blocks out of order."""
+    rng = random.Random(5)
+    texts = ["Journal 1", "Journal 22", "journal \u0663", "\u00c9t\u00e9 7", " \u00a0\x85\x1c", "", None, "body - \u00df \ufb01", "inno-\nvation", "12"]
+    rows = [(rng.choice(["a", "b", "c", "d", None]), rng.choice([1, 2, 3, 4, 5, 9, None]), rng.choice([0, 1, 2, 3, None]), rng.choice(texts), rng.choice([10.0, 300.0, 740.0, None]), rng.choice([20.0, 340.0, 790.0]), rng.choice([792.0, 792.0, None])) for _ in range(300)]
+    b = spark.createDataFrame([*rows, ("one", 1, 0, "Journal 1", 10.0, 20.0, 792.0)], assembly.BLOCKS)
+    for s in (Settings(), Settings(boilerplate_share=0.5), Settings(strip_boilerplate=False)):
+        got, want = assembly.from_blocks(b, s), assembly.doc_texts(assembly.page_texts(b, s), s)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert assembly.from_blocks(b)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
