@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from quotarium import storage
 
@@ -62,3 +63,19 @@ def test_lower_limits_stay(spark):
         assert spark.conf.get(key) == str(storage.BATCH_ROWS) and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b") == str(storage.BATCH_BYTES)
     finally:
         spark.conf.set(key, was)
+
+
+def test_steps_have_no_checksum_files_but_are_checked(spark):
+    """A chmod is started for each checksum file, too. What they guard, the pages' own checksums do."""
+    step = storage.written(spark.range(1000).repartition(3), "raw")
+    path = path_of(step)
+    assert not [f for _, _, names in os.walk(path) for f in names if f.endswith(".crc")]
+    assert step.agg(F.sum("id")).first()[0] == 499_500
+    part = max((os.path.join(path, f) for f in os.listdir(path) if f.endswith(".parquet")), key=os.path.getsize)
+    with open(part, "r+b") as f:
+        f.seek(os.path.getsize(part) // 3)  # in the page's numbers
+        old = f.read(1)
+        f.seek(-1, os.SEEK_CUR)
+        f.write(bytes([old[0] ^ 255]))
+    with pytest.raises(Exception, match="(?i)checksum|crc|corrupt"):
+        step.collect()
