@@ -32,6 +32,11 @@ def test_only_two_rungs_stay_in_the_jvm(spark, sf_dir):
     assert "_fuzzy" in catalog.verify_ladder(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["token_window_usage", "token_estimate_last5", "rate_limit_admission"])
+def test_no_window_is_summed_anew_for_each_row(spark, sf_dir, name):
+    assert "RangeFrame" not in catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fuzzy_verdicts_by_brute_force(spark, sf_dir):
     """Scores of the fuzzy rung against the windows of a plain dynamic program, on short documents."""
     from test_functions import brute
