@@ -60,3 +60,7 @@ def assemble_blocks(page_no: pa.Array, block_no: pa.Array, marginal: pa.Array, t
 def assemble_lines(col: pa.Array) -> pa.Array:
     """Each line of a text is a page."""
     return pa.array([assemble((t or "").split("\n")) for t in col.to_pylist()], _TYPE)
+
+
+# Spark would run them once more below each filter on what they give, in a second Python worker of each task; it leaves what it holds for nondeterministic where it is.
+assemble_blocks, assemble_lines = assemble_blocks.asNondeterministic(), assemble_lines.asNondeterministic()

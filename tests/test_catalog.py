@@ -37,6 +37,12 @@ def test_no_window_is_summed_anew_for_each_row(spark, sf_dir, name):
     assert "RangeFrame" not in catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["no_text_layer_docs", "page_offsets", "page_lookup", "boilerplate_stripped_text"])
+def test_texts_are_assembled_once(spark, sf_dir, name):
+    """Filters on an assembled text don't assemble it in a second Python worker of each task."""
+    assert catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_fuzzy_verdicts_by_brute_force(spark, sf_dir):
     """Scores of the fuzzy rung against the windows of a plain dynamic program, on short documents."""
     from test_functions import brute
