@@ -54,29 +54,50 @@ def window_usage(usage: DataFrame, settings: Settings = Settings()) -> DataFrame
     what of the span before hasn't gone yet and what came before it in its own span: running sums over one sorted pass, however many rows a window holds. The last
     sizes before a span are handed on from the few rows that each span has at its end.
     """
+    log = _spans(usage, settings)
+    rows = _estimated(_used(log, settings), log, settings)
+    admitted = F.col("oldest_us").isNull() | (F.col("used") + F.col("estimate") <= settings.token_budget)
+    wait = F.greatest(F.col("oldest_us") + settings.window_seconds * 1_000_000 - F.col("ts_us"), F.lit(1_000_000))
+    return rows.select("lane", "seq", "ts_us", "tokens", "used", "oldest_us", "estimate", admitted.alias("admitted"), F.when(admitted, F.lit(0)).otherwise(wait).cast("long").alias("wait_us"))
+
+
+def used_before(usage: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """lane, seq, ts_us, tokens, used and oldest_us of window_usage, in one shuffle and one sort: no last sizes are gathered or joined, and no step has only a task for each lane."""
+    return _used(_spans(usage, settings), settings).select("lane", "seq", "ts_us", "tokens", "used", "oldest_us")
+
+
+def estimates(usage: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """lane, seq, ts_us, tokens and estimate of window_usage, without what is used."""
+    log = _spans(usage, settings)
+    return _estimated(log, log, settings).select("lane", "seq", "ts_us", "tokens", "estimate")
+
+
+def _spans(usage: DataFrame, settings: Settings) -> DataFrame:
+    return usage.filter("tokens > 0 and ts_us is not null").withColumn("span", F.floor(F.col("ts_us") / (settings.window_seconds * 1_000_000)))
+
+
+def _used(log: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of log with used and oldest_us. A row finds nothing in its window where oldest_us is null."""
     window = settings.window_seconds * 1_000_000
-    log = usage.filter("tokens > 0 and ts_us is not null").withColumn("span", F.floor(F.col("ts_us") / window))
     turns = log.select("lane", "seq", "ts_us", "tokens", "span", F.explode(F.array(F.lit(0), F.lit(1))).alias("gone"))
     turns = turns.withColumns({"span": F.col("span") + F.col("gone"), "at": F.col("ts_us") + F.col("gone") * window})
     in_order = Window.partitionBy("lane", "span").orderBy("at", "gone", "seq")
     before, whole = in_order.rowsBetween(Window.unboundedPreceding, -1), in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     come, gone = F.col("gone") == 0, F.col("gone") == 1
-
-    def there(n: Column) -> Column:
-        known = lambda x: F.coalesce(x, F.lit(0))
-        return known(F.sum(F.when(gone, n)).over(whole)) - known(F.sum(F.when(gone, n)).over(before)) + known(F.sum(F.when(come, n)).over(before))
-
+    known = lambda x: F.coalesce(x, F.lit(0))
+    used = known(F.sum(F.when(gone, F.col("tokens"))).over(whole)) + known(F.sum(F.when(gone, -F.col("tokens")).otherwise(F.col("tokens"))).over(before))
     next_to_go = F.expr("lead(if(gone = 1, ts_us, null)) ignore nulls over (partition by lane, span order by at, gone, seq)")
     oldest = F.coalesce(next_to_go, F.min(F.when(come, F.col("ts_us"))).over(before))
-    rows = turns.withColumns({"used": there(F.col("tokens")), "n_in": there(F.lit(1)), "oldest_us": oldest}).filter(come)
+    return turns.withColumns({"used": used, "oldest_us": oldest}).filter(come)
+
+
+def _estimated(rows: DataFrame, log: DataFrame, settings: Settings) -> DataFrame:
+    """rows, which are those of log, with estimate."""
     own, sizes = rows.alias("r"), _sizes_before(log, settings.history).alias("s")
     rows = own.join(sizes, F.col("r.lane").eqNullSafe(F.col("s.lane")) & (F.col("r.span") == F.col("s.span"))).select("r.*", "s.sizes")
     inside = Window.partitionBy("lane", "span").orderBy("ts_us", "seq").rowsBetween(-settings.history, -1)
     last = _last(F.concat("sizes", F.collect_list("tokens").over(inside)), settings.history)
-    rows = rows.withColumn("last", last).withColumn("estimate", F.greatest(F.when(F.size("last") > 0, F.expr("aggregate(last, 0L, (a, x) -> a + x) div size(last)")).otherwise(F.lit(0)), F.lit(1)).cast("long"))
-    admitted = (F.col("n_in") == 0) | (F.col("used") + F.col("estimate") <= settings.token_budget)
-    wait = F.greatest(F.col("oldest_us") + window - F.col("ts_us"), F.lit(1_000_000))
-    return rows.select("lane", "seq", "ts_us", "tokens", "used", F.when(F.col("n_in") > 0, F.col("oldest_us")).alias("oldest_us"), "estimate", admitted.alias("admitted"), F.when(admitted, F.lit(0)).otherwise(wait).cast("long").alias("wait_us"))
+    return rows.withColumn("last", last).withColumn("estimate", F.greatest(F.when(F.size("last") > 0, F.expr("aggregate(last, 0L, (a, x) -> a + x) div size(last)")).otherwise(F.lit(0)), F.lit(1)).cast("long"))
 
 
 def _last(items: Column, n: int) -> Column:

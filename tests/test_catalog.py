@@ -37,6 +37,12 @@ def test_no_window_is_summed_anew_for_each_row(spark, sf_dir, name):
     assert "RangeFrame" not in catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_used_tokens_meet_in_one_shuffle(spark, sf_dir):
+    """What is used needs no last sizes: no join, and no window over a lane's spans, which is a task for each lane."""
+    run = catalog.token_window_usage(spark, sf_dir)._jdf.queryExecution()
+    assert "Join" not in run.optimizedPlan().toString() and run.executedPlan().toString().count("Exchange ") == 1
+
+
 @pytest.mark.parametrize("name", ["no_text_layer_docs", "page_offsets", "page_lookup", "boilerplate_stripped_text"])
 def test_texts_are_assembled_once(spark, sf_dir, name):
     """Filters on an assembled text don't assemble it in a second Python worker of each task."""

@@ -544,6 +544,23 @@ def test_full_windows_are_summed_in_one_pass(spark):
         assert r["admitted"] == (not inside or r["used"] + estimate <= 1000)
 
 
+@pytest.mark.parametrize("seconds", [1, 60, 3600])
+def test_used_and_estimate_by_themselves(spark, seconds):
+    """Each alone gives the columns of window_usage, and what is used those of plain loops; windows of few and of all requests."""
+    rng, s = random.Random(seconds), Settings(window_seconds=seconds)
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice([None, *[rng.randrange(-400, 900) * 250_000] * 9]), rng.choice([0, None, 5, 7, 30, 90])) for i in range(400)]
+    log = spark.createDataFrame(rows, "lane string, seq long, ts_us long, tokens int")
+    whole, kept = pacing.window_usage(log, s).persist(), [r for r in rows if r[3] and r[2] is not None]
+    used = pacing.used_before(log, s)
+    for part in (used, pacing.estimates(log, s)):
+        assert sorted(map(repr, part.collect())) == sorted(map(repr, whole.select(part.columns).collect()))
+    got = {r["seq"]: (r["used"], r["oldest_us"]) for r in used.collect()}
+    assert len(got) == len(kept)
+    for lane, seq, ts, _ in kept:
+        inside = [(t, n) for own, i, t, n in kept if own == lane and (t, i) < (ts, seq) and t >= ts - seconds * 1_000_000]
+        assert got[seq] == (sum(n for _, n in inside), min(inside)[0] if inside else None)
+
+
 def test_quotes_reach_python_in_small_batches(spark, corpus, wide_batches):
     assert not wide_batches() and verdict(spark, corpus, LONG)["verification_status"] == S.VERIFIED and wide_batches()
 
